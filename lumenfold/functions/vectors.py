@@ -75,6 +75,12 @@ def weigh_slots(counts: pa.Array, entries: pa.Array, containing: pa.Array) -> pa
     return list_array(unit_rows(np.log1p(matrix(counts)) * rarity))
 
 
+@F.arrow_udf(T.DoubleType())
+def row_dot(left: pa.Array, right: pa.Array) -> pa.Array:
+    """Dot product of two vector columns."""
+    return pa.array((matrix(left) * matrix(right)).sum(axis=1) if len(left) else [], pa.float64())
+
+
 def vector_sum(vector: Column) -> Column:
     """Aggregate: element-wise sum, combined on the map side."""
     return vector_to_array(Summarizer.sum(array_to_vector(vector)))
@@ -87,9 +93,3 @@ def vector_nonzeros(vector: Column) -> Column:
 
 def squared_length(vector: Column) -> Column:
     return F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-
-
-def dot(left: Column, right: Column) -> Column:
-    return F.aggregate(
-        F.zip_with(left, right, lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda acc, x: acc + x
-    )

@@ -66,7 +66,7 @@ def rank_members(members: DataFrame, vectors: DataFrame, centroids: DataFrame) -
         vectors.select(*SCOPE, "entry_index", "vector"), [*SCOPE, "entry_index"]
     )
     return placed.join(centroids.select(*CLUSTER, "centroid"), CLUSTER).select(
-        *CLUSTER, "entry_index", F.round(vx.dot(F.col("vector"), F.col("centroid")), graph.DECIMALS).alias("similarity")
+        *CLUSTER, "entry_index", F.round(vx.row_dot("vector", "centroid"), graph.DECIMALS).alias("similarity")
     )
 
 

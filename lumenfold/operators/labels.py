@@ -43,14 +43,14 @@ def keyword_values(entries: DataFrame) -> Column:
     return F.concat(none, *[F.coalesce(f, none) for f in found])
 
 
-def _top_terms(scored: DataFrame, order: list, word: str = "term") -> DataFrame:
-    """First four terms per cluster; ranking is limited before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy(*CLUSTER).orderBy(*order))
+def _top_terms(scored: DataFrame, order: list, keys: list[str] = CLUSTER) -> DataFrame:
+    """First four terms per group; ranking is limited before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return (
         scored.withColumn("_rank", rank)
         .where(F.col("_rank") <= KEYWORDS)
-        .groupBy(*CLUSTER)
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("_rank", word))), lambda t: t[word]).alias("keywords"))
+        .groupBy(*keys)
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "term"))), lambda t: t["term"]).alias("keywords"))
     )
 
 
@@ -66,10 +66,13 @@ def source_keywords(entries: DataFrame, members: DataFrame) -> DataFrame:
     return _top_terms(counts, [F.desc("times"), "term"])
 
 
-def contrast_keywords(entries: DataFrame, members: DataFrame, clusters: DataFrame) -> DataFrame:
+def contrast_keywords(
+    entries: DataFrame, members: DataFrame, clusters: DataFrame, keys: list[str] = CLUSTER
+) -> DataFrame:
     """Words much more frequent inside a cluster than in the rest of its scope.
 
-    ``clusters`` is ``(cluster, size)`` of the clusters to name. Per-entry
+    ``clusters`` is ``(cluster, size)`` of the clusters to name; ``keys`` may name
+    another kind of group inside the scope. Per-entry
     distinct words are counted inside and in the whole scope; outside is the
     difference. Both counts are combined on the map side.
     """
@@ -80,11 +83,11 @@ def contrast_keywords(entries: DataFrame, members: DataFrame, clusters: DataFram
         *SCOPE, "entry_index", F.explode(F.array_distinct(tx.words(all_text(entries)))).alias("term")
     )
     everywhere = word_rows.groupBy(*SCOPE, "term").agg(F.count("*").alias("in_scope"))
-    chosen = members.join(clusters.select(*CLUSTER), CLUSTER, "left_semi").select(*CLUSTER, "entry_index")
+    chosen = members.join(clusters.select(*keys), keys, "left_semi").select(*keys, "entry_index")
     inside = (
         word_rows.where(F.length("term") >= 3)
         .join(chosen, [*SCOPE, "entry_index"])
-        .groupBy(*CLUSTER, "term")
+        .groupBy(*keys, "term")
         .agg(F.count("*").alias("inside"))
     )
     outside = F.col("in_scope") - F.col("inside")
@@ -96,11 +99,11 @@ def contrast_keywords(entries: DataFrame, members: DataFrame, clusters: DataFram
     )
     scored = (
         inside.join(everywhere, [*SCOPE, "term"])
-        .join(clusters.select(*CLUSTER, "size"), CLUSTER)
+        .join(clusters.select(*keys, "size"), keys)
         .join(totals, SCOPE)
         .withColumn("score", F.round(score, 9))
     )
-    return _top_terms(scored, [F.desc("score"), "term"])
+    return _top_terms(scored, [F.desc("score"), "term"], keys)
 
 
 def title_keywords(entries: DataFrame, ranked: DataFrame) -> DataFrame:
