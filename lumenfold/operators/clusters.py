@@ -11,7 +11,7 @@ from lumenfold.functions import text as tx
 from lumenfold.functions import vectors as vx
 from lumenfold.operators import communities as cm
 from lumenfold.operators import graph, labels, sweep
-from lumenfold.operators.embed import embed_entries
+from lumenfold.operators.embed import embed_entries, slot_rarity
 from lumenfold.operators.shape import all_text, normalize_entries, resolve_entry_id, with_builder_text
 from lumenfold.schema import (
     DEFAULT_ID_PREFIX,
@@ -31,10 +31,12 @@ REPRESENTATIVES = 5
 @dataclass
 class ClusterIndex:
     """``header``: one row per scope (model, dimension, id_prefix,
-    assignment_min_similarity); ``clusters``: one row per cluster."""
+    assignment_min_similarity); ``clusters``: one row per cluster; ``rarity``:
+    the word weights per scope when the built-in vectoriser was used."""
 
     header: DataFrame
     clusters: DataFrame
+    rarity: DataFrame | None = None
 
 
 @dataclass
@@ -141,10 +143,11 @@ def build_cluster_index(
     the loosest threshold, and each setting filters it.
     """
     entries = with_builder_text(_prepare(entries), text)
-    if vectors is None:
-        embedded = embed_entries(entries, vectorizer=vectorizer, keep=["entry_id", "entry_index"])
-    else:
-        embedded = embed_entries(entries, vectors=vectors, keep=["entry_id", "entry_index"])
+    builtin = vectors is None and vectorizer is None
+    rarity = materialize(slot_rarity(entries), "slot-rarity") if builtin else None
+    embedded = embed_entries(
+        entries, vectors=vectors, vectorizer=vectorizer, rarity=rarity, keep=["entry_id", "entry_index"]
+    )
     stored = materialize(embedded, "entry-vectors")
     sizes = stored.groupBy(*SCOPE).agg(
         F.count("*").alias("n"), F.max("model").alias("model"), F.max(F.size("vector")).alias("dimension")
@@ -202,7 +205,7 @@ def build_cluster_index(
         F.col("min_similarity").alias("assignment_min_similarity"),
     )
     clusters = materialize(describe_clusters(entries, stored, final, id_prefix), "clusters")
-    return ClusterIndex(header, clusters)
+    return ClusterIndex(header, clusters, rarity)
 
 
 def _with_singletons(placed: DataFrame, stored: DataFrame, floors: DataFrame) -> DataFrame:
@@ -276,12 +279,14 @@ def assign_entries(
     """Tag entries against a stored index.
 
     A custom text is embedded as it is here, while the build embeds the usual
-    fields next to it. With the built-in vectoriser the word rarities are those
-    of the entries given, so give whole scopes or supply vectors.
+    fields next to it. The built-in vectoriser uses the word weights stored with
+    the index.
     """
     entries = _prepare(entries)
     keep = ["entry_id", "entry_index"]
-    embedded = embed_entries(entries, text=text, vectors=vectors, vectorizer=vectorizer, keep=keep)
+    embedded = embed_entries(
+        entries, text=text, vectors=vectors, vectorizer=vectorizer, rarity=index.rarity, keep=keep
+    )
     assignments = assign_clusters(
         embedded, index, min_similarity=min_similarity, max_clusters_per_entry=max_clusters_per_entry
     )

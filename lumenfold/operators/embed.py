@@ -10,12 +10,24 @@ from lumenfold.operators.shape import embedding_text
 from lumenfold.schema import SCOPE
 
 
+def slot_rarity(entries: DataFrame, text: Column | None = None, dim: int = 512) -> DataFrame:
+    """Per scope: entry count and, for each hash slot, the entries whose text hits it.
+
+    One aggregate combined on the map side; ``dim`` numbers per scope remain.
+    """
+    value = embedding_text(entries) if text is None else text
+    return entries.groupBy(*SCOPE).agg(
+        F.count("*").alias("_entries"), vx.vector_nonzeros(vx.word_slots(dim)(value)).alias("_containing")
+    )
+
+
 def embed_entries(
     entries: DataFrame,
     *,
     text: Column | None = None,
     vectors: DataFrame | None = None,
     vectorizer=None,
+    rarity: DataFrame | None = None,
     dim: int = 512,
     keep: list[str] | None = None,
 ) -> DataFrame:
@@ -24,9 +36,8 @@ def embed_entries(
     * ``vectors``: a supplied table keyed by scope and ``entry_id``;
     * ``vectorizer``: a user's Arrow or pandas UDF over the embedding text;
     * otherwise hashed words weighted by how rare they are in the scope.
-
-    The built-in weighting reads the entries twice: one map-side-combined
-    aggregate leaves ``dim`` numbers per scope, which are joined back.
+      ``rarity`` brings the weights of an existing index (for queries and new
+      entries); without it the given entries are read a second time for them.
     """
     keep = keep or ["entry_id", "seq"]
     value = embedding_text(entries) if text is None else text
@@ -36,10 +47,9 @@ def embed_entries(
     if vectorizer is not None:
         made = entries.select(*SCOPE, *keep, F.lit("custom").alias("model"), vectorizer(value).alias("vector"))
         return made.withColumn("vector", vx.unit_vector("vector"))
+    if rarity is None:
+        rarity = slot_rarity(entries, value, dim)
     counted = entries.select(*SCOPE, *keep, vx.word_slots(dim)(value).alias("_counts"))
-    rarity = counted.groupBy(*SCOPE).agg(
-        F.count("*").alias("_entries"), vx.vector_nonzeros(F.col("_counts")).alias("_containing")
-    )
     return counted.join(rarity, SCOPE).select(
         *SCOPE,
         *keep,

@@ -1,0 +1,4 @@
+"""Registered queries over the given tables."""
+
+from lumenfold.plans import shape_queries  # noqa: F401
+from lumenfold.plans.registry import ORACLES, QUERIES  # noqa: F401
