@@ -4,7 +4,7 @@ Quality: Q = 1/2m · Σ (w_ij − γ·k_i·k_j / 2m) over pairs in one community
 (Reichardt & Bornholdt 2006). Local moves with contraction (Blondel et al. 2008)
 run for every scope and every sweep setting in the same plan; the final step
 splits communities that are not connected (Traag et al. 2019). State between
-rounds goes to reliable checkpoints. Only counts reach the driver.
+rounds is stored in the shared folder. Only counts reach the driver.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lumenfold.functions.index import dense_index
 from lumenfold.schema import DEFAULT_SEED
-from lumenfold.session import cut_lineage
+from lumenfold.session import materialize
 
 EPSILON = 1e-12
 DROP_SETTLED_EVERY = 4
@@ -25,9 +25,10 @@ DROP_SETTLED_EVERY = 4
 def _move_round(links: DataFrame, state: DataFrame, keys: list[str], salt: str) -> DataFrame:
     """One synchronous round: every node looks at the communities next door.
 
-    A node whose best community beats staying moves when its coin, a hash of the
-    node and the round, allows it. The coin keeps neighbours from swapping
-    places for ever. Ties go to the smaller label.
+    A node whose best community beats staying moves if that community comes
+    before its own in this round's order, a hash of label and round. The order
+    changes every round and runs one way within it, so two neighbours can never
+    swap places. Ties go to the smaller label.
     """
     near = links.join(state.select(*keys, F.col("node").alias("dst"), "label"), [*keys, "dst"]).select(
         *keys, F.col("src").alias("node"), "label", "w"
@@ -46,11 +47,11 @@ def _move_round(links: DataFrame, state: DataFrame, keys: list[str], salt: str)
         *[F.first(c).alias(c) for c in ("own", "k", "two_m", "resolution")],
     )
     improving = F.col("best_gain") > F.col("stay_gain") + EPSILON
-    coin = F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(2)) == 0
+    onward = F.xxhash64("best", F.lit(salt)) < F.xxhash64("own", F.lit(salt))
     return best.select(
         *keys,
         "node",
-        F.when(improving & coin, F.col("best")).otherwise(F.col("own")).alias("label"),
+        F.when(improving & onward, F.col("best")).otherwise(F.col("own")).alias("label"),
         "k",
         "two_m",
         "resolution",
@@ -62,7 +63,7 @@ def _settle(links: DataFrame, state: DataFrame, keys: list[str], salt: str, roun
     """Repeat rounds until no node of any key improves. Every few rounds the settled keys leave the loop."""
     settled, active = [], state
     for number in range(rounds):
-        moved = cut_lineage(_move_round(links, active, keys, f"{salt}:{number}"))
+        moved = materialize(_move_round(links, active, keys, f"{salt}:{number}"), "round")
         active = moved.drop("improving")
         if moved.where("improving").isEmpty():
             break
@@ -90,10 +91,11 @@ def connected_components(links: DataFrame, nodes: DataFrame, keys: list[str], ro
             *keys, "node", F.col("component").alias("old"), F.least("component", "near").alias("component")
         )
         jump = lowered.select(*keys, F.col("node").alias("component"), F.col("component").alias("jump"))
-        jumped = cut_lineage(
+        jumped = materialize(
             lowered.join(jump, [*keys, "component"], "left").select(
                 *keys, "node", "old", F.least("component", "jump").alias("component")
-            )
+            ),
+            "components",
         )
         state = jumped.drop("old")
         if jumped.where("component < old").isEmpty():
@@ -119,45 +121,47 @@ def detect_communities(
     if resolution is not None:
         edges = edges.withColumn("resolution", F.lit(float(resolution)))
     flip = edges.select(*keys, F.col("dst").alias("src"), F.col("src").alias("dst"), "w", "resolution")
-    both = cut_lineage(edges.select(*keys, "src", "dst", "w", "resolution").unionByName(flip))
+    both = materialize(edges.select(*keys, "src", "dst", "w", "resolution").unionByName(flip), "links")
     links = both.select(*keys, "src", "dst", "w")
     strengths = both.groupBy(*keys, F.col("src").alias("node")).agg(
         F.sum("w").alias("k"), F.first("resolution").alias("resolution")
     )
     totals = strengths.groupBy(*keys).agg(F.sum("k").alias("two_m"))
-    nodes = cut_lineage(strengths.join(totals, keys))
+    nodes = materialize(strengths.join(totals, keys), "nodes")
     placed = nodes.select(*keys, "node", F.col("node").alias("label"))
 
     level_nodes, level_links = nodes, links
     for level in range(levels):
         state = level_nodes.withColumn("label", F.col("node"))
-        state = _settle(level_links, state, keys, f"{seed}:{level}", rounds)
+        state = materialize(_settle(level_links, state, keys, f"{seed}:{level}", rounds), "settled")
         moved = state.select(*keys, F.col("node").alias("label"), F.col("label").alias("_to"))
         placed = placed.join(moved, [*keys, "label"]).select(*keys, "node", F.col("_to").alias("label"))
         if state.where("label <> node").isEmpty():
             break
-        placed = cut_lineage(placed)
-        level_nodes = cut_lineage(
+        placed = materialize(placed, "placed")
+        level_nodes = materialize(
             state.groupBy(*keys, F.col("label").alias("node")).agg(
                 F.sum("k").alias("k"), F.first("resolution").alias("resolution"), F.first("two_m").alias("two_m")
-            )
+            ),
+            "level-nodes",
         )
         ends = state.select(*keys, "node", "label")
-        level_links = cut_lineage(
+        level_links = materialize(
             level_links.join(ends.select(*keys, F.col("node").alias("src"), F.col("label").alias("_a")), [*keys, "src"])
             .join(ends.select(*keys, F.col("node").alias("dst"), F.col("label").alias("_b")), [*keys, "dst"])
             .where("_a <> _b")
             .groupBy(*keys, F.col("_a").alias("src"), F.col("_b").alias("dst"))
-            .agg(F.sum("w").alias("w"))
+            .agg(F.sum("w").alias("w")),
+            "level-links",
         )
-    placed = cut_lineage(placed)
+    placed = materialize(placed, "placed")
     inside = (
         links.join(placed.select(*keys, F.col("node").alias("src"), F.col("label").alias("_a")), [*keys, "src"])
         .join(placed.select(*keys, F.col("node").alias("dst"), F.col("label").alias("_b")), [*keys, "dst"])
         .where("_a = _b")
         .select(*keys, "src", "dst")
     )
-    return connected_components(cut_lineage(inside), placed, keys).withColumnRenamed("component", "community")
+    return connected_components(materialize(inside, "inside"), placed, keys).withColumnRenamed("component", "community")
 
 
 def quality(edges: DataFrame, placed: DataFrame, keys: list[str], resolution: float) -> DataFrame:

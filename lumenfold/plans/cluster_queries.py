@@ -101,9 +101,9 @@ def mutual_edges(spark, d):
 
 # --- communities and sweep --------------------------------------------------
 
-_COMPONENTS = """both AS (SELECT user_id, src, dst FROM edges UNION ALL SELECT user_id, dst, src FROM edges),
-reach AS (SELECT DISTINCT user_id, src AS node, src AS other FROM both
-  UNION SELECT r.user_id, r.node, b.dst FROM reach r JOIN both b ON b.user_id = r.user_id AND b.src = r.other),
+_COMPONENTS = """twoway AS (SELECT user_id, src, dst FROM edges UNION ALL SELECT user_id, dst, src FROM edges),
+reach AS (SELECT DISTINCT user_id, src AS node, src AS other FROM twoway
+  UNION SELECT r.user_id, r.node, b.dst FROM reach r JOIN twoway b ON b.user_id = r.user_id AND b.src = r.other),
 placed AS (SELECT user_id, node, min(other) AS community FROM reach GROUP BY ALL)"""
 
 
@@ -281,7 +281,7 @@ def _folder_members(entries):
 
 
 FOLDERS_SQL = """folders AS (SELECT user_id, folder, count(*) AS size, row_number() OVER (PARTITION BY user_id ORDER BY min(entry_index)) AS cluster_no
-  FROM entries GROUP BY ALL),
+  FROM entries GROUP BY user_id, folder),
 members AS (SELECT e.user_id, e.entry_index, f.cluster_no, f.size FROM entries e JOIN folders f USING (user_id, folder))"""
 
 
@@ -382,7 +382,7 @@ knn AS (SELECT *, row_number() OVER (PARTITION BY user_id, src ORDER BY sim DESC
 edges AS (SELECT a.user_id, a.src, a.dst, a.sim AS w FROM knn a JOIN knn b ON a.user_id = b.user_id AND a.src = b.dst AND a.dst = b.src
   WHERE a.src < a.dst AND a.sim >= 0.7), {_COMPONENTS},
 comp AS (SELECT user_id, community, count(*) AS size, row_number() OVER (PARTITION BY user_id ORDER BY community) AS cluster_no
-  FROM placed GROUP BY ALL HAVING count(*) >= 3),
+  FROM placed GROUP BY user_id, community HAVING count(*) >= 3),
 members AS (SELECT p.user_id, p.node AS entry_index, c.cluster_no, c.size FROM placed p JOIN comp c USING (user_id, community)),
 csum AS (SELECT user_id, cluster_no, slot, sum(v) AS s FROM members JOIN dvi USING (user_id, entry_index) GROUP BY ALL),
 cnorm AS (SELECT user_id, cluster_no, sqrt(sum(s * s)) AS norm FROM csum GROUP BY ALL),

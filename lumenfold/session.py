@@ -34,19 +34,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably so that later plans start from stored data."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    Used for results that several later plans read: a stored table survives
-    executor loss and gives the optimizer real sizes and column pruning.
+    Cuts lineage so that later plans start from stored data, which survives
+    executor loss. In loops this is better than ``checkpoint()``: a checkpoint
+    carries the size estimate of its plan, which multiplies with every join and
+    soon stalls the planner, while a stored table has its real size.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
