@@ -16,19 +16,20 @@ from pyspark.sql import functions as F
 
 from lumenfold.functions.index import dense_index
 from lumenfold.schema import DEFAULT_SEED
-from lumenfold.session import materialize
+from lumenfold.session import materialize, materialize_counting
 
 EPSILON = 1e-12
 DROP_SETTLED_EVERY = 4
 
 
-def _move_round(links: DataFrame, state: DataFrame, keys: list[str], salt: str) -> DataFrame:
+def _move_round(links: DataFrame, state: DataFrame, keys: list[str], salt: str, backward: bool) -> DataFrame:
     """One synchronous round: every node looks at the communities next door.
 
     A node whose best community beats staying moves if that community comes
-    before its own in this round's order, a hash of label and round. The order
-    changes every round and runs one way within it, so two neighbours can never
-    swap places. Ties go to the smaller label.
+    before its own in this round's order, a hash of label and round. An order
+    runs one way, so two neighbours can never swap places; every second round
+    runs ``backward``, so no move waits longer than that. Ties go to the smaller
+    label.
     """
     near = links.join(state.select(*keys, F.col("node").alias("dst"), "label"), [*keys, "dst"]).select(
         *keys, F.col("src").alias("node"), "label", "w"
@@ -47,7 +48,8 @@ def _move_round(links: DataFrame, state: DataFrame, keys: list[str], salt: str)
         *[F.first(c).alias(c) for c in ("own", "k", "two_m", "resolution")],
     )
     improving = F.col("best_gain") > F.col("stay_gain") + EPSILON
-    onward = F.xxhash64("best", F.lit(salt)) < F.xxhash64("own", F.lit(salt))
+    ahead, behind = ("own", "best") if backward else ("best", "own")
+    onward = F.xxhash64(ahead, F.lit(salt)) < F.xxhash64(behind, F.lit(salt))
     return best.select(
         *keys,
         "node",
@@ -63,9 +65,11 @@ def _settle(links: DataFrame, state: DataFrame, keys: list[str], salt: str, roun
     """Repeat rounds until no node of any key improves. Every few rounds the settled keys leave the loop."""
     settled, active = [], state
     for number in range(rounds):
-        moved = materialize(_move_round(links, active, keys, f"{salt}:{number}"), "round")
+        moved, left = materialize_counting(
+            _move_round(links, active, keys, f"{salt}:{number // 2}", number % 2 == 1), "round", F.col("improving")
+        )
         active = moved.drop("improving")
-        if moved.where("improving").isEmpty():
+        if not left:
             break
         if number % DROP_SETTLED_EVERY == DROP_SETTLED_EVERY - 1:
             open_keys = moved.where("improving").select(*keys).distinct()
@@ -91,14 +95,15 @@ def connected_components(links: DataFrame, nodes: DataFrame, keys: list[str], ro
             *keys, "node", F.col("component").alias("old"), F.least("component", "near").alias("component")
         )
         jump = lowered.select(*keys, F.col("node").alias("component"), F.col("component").alias("jump"))
-        jumped = materialize(
+        jumped, changed = materialize_counting(
             lowered.join(jump, [*keys, "component"], "left").select(
                 *keys, "node", "old", F.least("component", "jump").alias("component")
             ),
             "components",
+            F.expr("component < old"),
         )
         state = jumped.drop("old")
-        if jumped.where("component < old").isEmpty():
+        if not changed:
             return state
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
@@ -133,10 +138,12 @@ def detect_communities(
     level_nodes, level_links = nodes, links
     for level in range(levels):
         state = level_nodes.withColumn("label", F.col("node"))
-        state = materialize(_settle(level_links, state, keys, f"{seed}:{level}", rounds), "settled")
+        state, merged = materialize_counting(
+            _settle(level_links, state, keys, f"{seed}:{level}", rounds), "settled", F.expr("label <> node")
+        )
         moved = state.select(*keys, F.col("node").alias("label"), F.col("label").alias("_to"))
         placed = placed.join(moved, [*keys, "label"]).select(*keys, "node", F.col("_to").alias("label"))
-        if state.where("label <> node").isEmpty():
+        if not merged:
             break
         placed = materialize(placed, "placed")
         level_nodes = materialize(

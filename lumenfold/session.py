@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_BASE: dict[str, str] = {}
 
@@ -46,3 +47,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_counting(df: DataFrame, label: str, condition: Column) -> tuple[DataFrame, int]:
+    """``materialize`` and the number of rows that meet ``condition``, counted while writing."""
+    seen = Observation()
+    stored = materialize(df.observe(seen, F.count(F.when(condition, 1)).alias("rows")), label)
+    return stored, seen.get["rows"]
