@@ -78,17 +78,19 @@ def entity_overview_by_query(
     """Entities by the best cosine of their catalysts to each query.
 
     With at most ``m`` catalysts per entity, the first ``top`` entities are
-    among the first ``top · m`` catalysts, so the cut is exact.
+    among the first ``top · m`` catalysts, so the cut is exact; equal catalysts
+    are put in the order of their entities for it.
     """
     most = catalysts.groupBy(*ENTITY).count().agg(F.max("count")).first()[0] or 1
+    place = F.concat_ws("\x01", "entity", "entity_type", "catalyst_id")
     found = best_matches(
         queries.select(*SCOPE, F.col("query_id").alias("left_id"), "vector"),
-        catalysts.select(*SCOPE, F.col("catalyst_id").alias("right_id"), "vector"),
+        catalysts.select(*SCOPE, place.alias("right_id"), "vector"),
         top * int(most),
     )
     relevance = (
-        found.withColumnsRenamed({"left_id": "query_id", "right_id": "catalyst_id"})
-        .join(catalysts.select(*ENTITY, "catalyst_id"), [*SCOPE, "catalyst_id"])
+        found.withColumnsRenamed({"left_id": "query_id", "right_id": "_place"})
+        .join(catalysts.select(*ENTITY, place.alias("_place")), [*SCOPE, "_place"])
         .groupBy(*QUERY, "entity_type", "entity")
         .agg(F.max("sim").alias("relevance"))
     )
