@@ -198,6 +198,8 @@ def best_matches(
         .withColumn("_lb", F.explode(F.sequence(F.lit(0), F.col("_left_of") - 1)))
         .select(*SCOPE, "_lb", F.col("_block").alias("_rb"), "right_id", "vector")
     )
+    # Fresh columns, in case both sides come from the same frame.
+    spread_right = spread_right.select(*[F.col(c).alias(c) for c in spread_right.columns])
     arrow_id = pa.string() if id_type == "string" else pa.int64()
 
     def match(key, lefts, rights):
