@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def dense_index(
-    df: DataFrame, keys: list[str], order: str, out: str = "entry_index", start: int = 0, width: int = 1 << 16
+    df: DataFrame, keys: list[str], order: str, out: str = "entry_index", start: int = 0, width: int = 1024
 ) -> DataFrame:
     """Number rows 0, 1, 2, … per ``keys`` by the whole number ``order`` (unique per key).
 

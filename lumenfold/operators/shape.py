@@ -65,16 +65,17 @@ def group_entries(
     """One entry per (user, recipe), its notes the comments in arrival order.
 
     Rows without a recipe or with at most ``min_len`` characters are dropped. A
-    pair with more than ``part_rows`` comments is continued over several rows,
+    pair with more than ``part_rows`` rows is continued over several entries,
     told apart by ``part`` (0 for everything else): no comment is lost and no
     task has to hold more than ``part_rows`` of them. One shuffle; the hot pairs
-    come from a count that is combined on the map side.
+    come from a count that is combined on the map side and reads only the keys.
     """
     if users is not None:
         rows = filter_users(rows, users)
-    kept = rows.where((F.col("recipe_name") != "") & (F.length("comment") > min_len))
     pair = ["user_id", "recipe_name"]
-    hot = kept.groupBy(*pair).count().where(F.col("count") > part_rows).select(*pair, F.lit(True).alias("_hot"))
+    named = rows.where(F.col("recipe_name") != "")
+    hot = named.groupBy(*pair).count().where(F.col("count") > part_rows).select(*pair, F.lit(True).alias("_hot"))
+    kept = named.where(F.length("comment") > min_len)
     parts = kept.join(hot, pair, "left").withColumn(
         "part", F.when(F.col("_hot"), F.floor(F.col("seq") / part_rows)).otherwise(0).cast("int")
     )

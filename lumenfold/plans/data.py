@@ -17,6 +17,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer splits than the session has cores, spread over all cores.
+
+    A large table has more splits than cores and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 # --- documents as entries ---------------------------------------------------
 
 LINKS = {"en": "the", "fr": "de", "de": "und", "es": "que"}
@@ -24,7 +33,7 @@ LINKS = {"en": "the", "fr": "de", "de": "und", "es": "que"}
 
 def entries(spark: SparkSession, folder: str) -> DataFrame:
     link = F.create_map(*[F.lit(x) for pair in LINKS.items() for x in pair])[F.col("lang")]
-    return table(spark, folder, "documents").select(
+    return spread(table(spark, folder, "documents")).select(
         F.lit("notes").alias("app_id"),
         F.concat(F.lit("u"), F.col("doc_id") % 4).alias("user_id"),
         F.concat(F.lit("doc-"), "doc_id").alias("id"),
@@ -110,7 +119,7 @@ _RECIPE = "'recipe-' || lower(replace(o_orderpriority, ' ', '-'))"
 
 def raw_comments(spark: SparkSession, folder: str) -> DataFrame:
     """Odd orders use the one spelling of the source columns, even ones the other."""
-    joined = table(spark, folder, "orders").join(
+    joined = spread(table(spark, folder, "orders")).join(
         table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
     odd = "o_orderkey % 2 = 1"
