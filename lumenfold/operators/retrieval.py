@@ -17,6 +17,7 @@ from lumenfold.functions import vectors as vx
 from lumenfold.operators.graph import DECIMALS, best_matches
 from lumenfold.operators.labels import contrast_keywords
 from lumenfold.schema import SCOPE
+from lumenfold.session import materialize
 
 KEPT_CATALYSTS = 10
 ENTITY = [*SCOPE, "entity_type", "entity"]
@@ -55,7 +56,8 @@ def build_catalysts(
     profile``) replaces it. Hot entities cost one vector per map task.
     """
     placed = mentions.join(vectors.select(*SCOPE, "entry_id", "vector"), [*SCOPE, "entry_id"])
-    sums = placed.groupBy(*ENTITY).agg(F.count("*").alias("size"), vx.vector_sum(F.col("vector")).alias("total"))
+    summed = placed.groupBy(*ENTITY).agg(F.count("*").alias("size"), vx.vector_sum(F.col("vector")).alias("total"))
+    sums = materialize(summed, "entity-sums")
     indexed = entries.select(*SCOPE, "entry_id", "entry_index")
     members = mentions.join(indexed, [*SCOPE, "entry_id"]).select(*ENTITY, "entry_index")
     words = contrast_keywords(entries, members, sums.select(*ENTITY, "size"), ENTITY)

@@ -54,7 +54,7 @@ class Index:
         self.rarity = materialize(embed.slot_rarity(self.entries, dim=DIM), "rarity")
         vectors = embed.embed_entries(self.entries, rarity=self.rarity, dim=DIM, keep=["entry_id", "entry_index"])
         self.vectors = materialize(vectors, "vectors")
-        self.mentions = entities.extract_entities(self.entries)
+        self.mentions = materialize(entities.extract_entities(self.entries), "mentions")
         catalysts = retrieval.build_catalysts(self.entries, self.mentions, self.vectors)
         self.catalysts = materialize(catalysts, "catalysts")
         self.documents = materialize(

@@ -106,7 +106,9 @@ def _file_writer(path: str):
         import pandas as pd
         from pyarrow import fs
 
-        store, base = fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else "/" + path)
+        # "file:/x" and "file:///x" are the same local folder; other schemes go by their URI.
+        local = "/" + path.removeprefix("file:").lstrip("/")
+        store, base = fs.FileSystem.from_uri(local if path.startswith(("/", "file:")) else path)
         for batch in batches:
             for name, body in zip(batch["name"], batch["body"]):
                 target = f"{base}/{name}"
