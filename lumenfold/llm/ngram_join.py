@@ -7,17 +7,17 @@ at least ``ceil(percent (a + b) / (100 + percent))``; these two bounds, made of
 1. Rows with the same set are one node, so exact copies cost one row.
 2. Columns get one global order, rarest first. Rarity is an estimate: a fixed number of counters, to which every
    shingle of every text is added. It decides costs only; any order gives the same links. Of a row only the first
-   ``n - ceil(percent n / 100) + 1`` columns enter the product, since a link shares at least one of those.
+   ``n - ceil(percent n / 100) + 1 + extra(n)`` columns enter the product: linked rows, needing overlap o, share at
+   least ``1 + e`` of their first ``a - o + 1 + e`` and ``b - o + 1 + e`` columns; here e = extra(a).
 3. The product runs by block, a column crossed with a band of sizes; columns with one row are left out first.
 4. In a block every row is first multiplied with one row only, the one that meets the column earliest (the least
    edited of a group of copies). Verified links are contracted to components, so the pairs inside a large group
    of near copies are never produced.
 5. Then the rows of a block outside its first row's component meet the rows of other components. Overlaps are
-   accumulated per pair, and a pair is dropped when the columns left after the last common one cannot lift it to
-   the bound. What remains is counted exactly on whole sets and completes the components.
+   accumulated per pair over the pair's first columns, and pairs that stay under ``1 + e`` are discarded. What
+   remains is counted exactly on whole sets and completes the components.
 
-No pair of different components is lost: its first common column is inside both prefixes, in the block of the
-larger row's band, and meets the bound there.
+No pair of different components is lost: its ``1 + e`` common columns all lie in blocks of the larger row's band.
 """
 
 from __future__ import annotations
@@ -86,6 +86,12 @@ def column_ranks(counts: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(1 + excess) * 2).astype(np.uint8)
 
 
+def extra(n, percent: int):
+    """How many columns beyond the first are asked of a pair whose smaller set has n; a quarter of its slack."""
+    share = n * (100 - percent)
+    return F.floor(share / 400) if isinstance(n, Column) else share // 400
+
+
 def incidence(texts: DataFrame, words: int, percent: int, ranks: np.ndarray) -> DataFrame:
     """``texts`` with, in place of ``text``: n (set size), node (the set's number, null if empty), prefix."""
     bits = int(math.log2(len(ranks)))
@@ -102,7 +108,8 @@ def incidence(texts: DataFrame, words: int, percent: int, ranks: np.ndarray) ->
                 sizes.append(n)
                 nodes.append(xxhash.xxh3_64_intdigest(chosen.tobytes()) - (1 << 63) if n else None)
                 order = np.argsort(ranked[(chosen >> np.uint64(64 - bits)).astype(np.int64)], kind="stable")
-                prefixes.append(chosen[order[: n + (-percent * n) // 100 + 1 if n else 0]].view(np.int64))
+                reach = n + (-percent * n) // 100 + 1 + extra(n, percent) if n else 0
+                prefixes.append(chosen[order[:reach]].view(np.int64))
             ends = np.cumsum([0, *map(len, prefixes)])
             flat = pa.array(np.concatenate(prefixes) if prefixes else np.empty(0, np.int64))
             made = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)]
@@ -135,9 +142,10 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _may_link(a: Column, i: Column, b: Column, j: Column, percent: int) -> Column:
-    """Whether rows whose first common column is at positions i and j can still reach the bound."""
-    return _sizes_fit(a, b, percent) & (F.least(a - i, b - j) >= _needed(a, b, percent))
+def _counts(a: Column, i: Column, b: Column, j: Column, percent: int) -> Column:
+    """Whether a common column at positions i and j is among the pair's first columns."""
+    most = extra(F.least(a, b), percent) - _needed(a, b, percent)
+    return _sizes_fit(a, b, percent) & (i <= a + most) & (j <= b + most)
 
 
 def link_nodes(nodes: DataFrame, wanted_sets, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -146,18 +154,25 @@ def link_nodes(nodes: DataFrame, wanted_sets, percent: int) -> tuple[DataFrame,
     ``nodes`` has one row per set: node, n, prefix. ``wanted_sets(frame of node)`` gives ``node, grams``.
     """
     entries = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "gram"))
+    entries = entries.select("gram", "node", (F.shiftleft("n", 32) + F.col("pos")).alias("both"))
     several = entries.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
+    shared = entries.join(several, "gram", "left_semi")
+    shared = shared.select("gram", "node", F.shiftright("both", 32).alias("n"), F.col("both").bitwiseAND(0xFFFFFFFF).alias("pos"))
     # A little wider than the size bound, so that linked rows are never more than one band apart.
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100.5 / percent)).cast("int")
-    shared = materialize(entries.join(several, "gram", "left_semi").withColumn("band", band), "shared-columns")
+    shared = materialize(shared.withColumn("band", band), "shared-columns")
     blocks = shared.select("*", F.explode(F.array("band", F.col("band") + 1)).alias("block"))
-    first = blocks.groupBy("gram", "block").agg(F.min(F.struct("pos", "node", "n")).alias("f"), F.count("*").alias("rows"))
-    first = first.where("rows > 1").select("gram", "block", *(F.col(f"f.{c}").alias(f"first_{c}") for c in ("pos", "node", "n")))
+    first = blocks.groupBy("gram", "block").agg(F.min(F.struct("pos", "node", "n", "band")).alias("f"), F.count("*").alias("rows"))
+    first = first.where("rows > 1").select("gram", "block", *(F.col(f"f.{c}").alias(f"first_{c}") for c in ("pos", "node", "n", "band")))
     col = F.col
 
     star = blocks.join(first, ["gram", "block"]).where(col("node") != col("first_node"))
-    star = star.where(_may_link(col("n"), col("pos"), col("first_n"), col("first_pos"), percent))
-    star = star.select(F.least("node", "first_node").alias("a"), F.greatest("node", "first_node").alias("b")).distinct()
+    star = star.where((col("block") == F.greatest("band", "first_band")) & _counts(col("n"), col("pos"), col("first_n"), col("first_pos"), percent))
+    star = star.groupBy(F.least("node", "first_node").alias("a"), F.greatest("node", "first_node").alias("b")).agg(
+        F.count("*").alias("overlap"), F.least(F.first("n"), F.first("first_n")).alias("smaller")
+    )
+    # Not all columns of a pair have the same first row: a third of the asked overlap is enough to look closer.
+    star = star.where(3 * col("overlap") >= 1 + extra(col("smaller"), percent)).select("a", "b")
     links = materialize(_verified(materialize(star, "star-pairs"), wanted_sets, percent), "star-links")
     roots = materialize(components(links), "star-roots")
 
@@ -173,16 +188,11 @@ def link_nodes(nodes: DataFrame, wanted_sets, percent: int) -> tuple[DataFrame,
         (col("l_root") != col("r_root"))
         & ((col("r_root") == col("lead")) | (col("l_node") < col("r_node")))
         & (col("block") == F.greatest("l_band", "r_band"))
-        & _may_link(col("l_n"), col("l_pos"), col("r_n"), col("r_pos"), percent)
-    )
-    swap = col("l_node") > col("r_node")
-    side = lambda c, x, y: F.when(swap, col(f"{x}_{c}")).otherwise(col(f"{y}_{c}"))
-    met = met.select(*(side(c, "r", "l").alias(f"a_{c}") for c in ("node", "n", "pos")), *(side(c, "l", "r").alias(f"b_{c}") for c in ("node", "n", "pos")))
-    summed = met.groupBy(col("a_node").alias("a"), col("b_node").alias("b"), "a_n", "b_n").agg(
-        F.count("*").alias("overlap"), F.max("a_pos").alias("a_pos"), F.max("b_pos").alias("b_pos")
+        & _counts(col("l_n"), col("l_pos"), col("r_n"), col("r_pos"), percent)
     )
-    most = col("overlap") + F.least(col("a_n") - 1 - col("a_pos"), col("b_n") - 1 - col("b_pos"))
-    rest = summed.where(most >= _needed(col("a_n"), col("b_n"), percent)).select("a", "b")
+    pair = [F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b")]
+    summed = met.groupBy(*pair).agg(F.count("*").alias("overlap"), F.least(F.first("l_n"), F.first("r_n")).alias("smaller"))
+    rest = summed.where(col("overlap") >= 1 + extra(col("smaller"), percent)).select("a", "b")
     links = links.unionByName(_verified(materialize(rest, "rest-pairs"), wanted_sets, percent))
     links = materialize(links, "links")
     return links, materialize(components(links), "roots")
