@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenfold.llm.batches import small_batches
 from lumenfold.session import materialize, materialize_counting
 
 #: Bytes of a chunk: at least, on average beyond that, at most.
@@ -110,6 +111,7 @@ def exact_groups(docs: DataFrame, text: str = "text", id: str = "doc_id", bits:
 
 def _grouped(docs: DataFrame, text: str, id: str, bits: int) -> DataFrame:
     """Of each row: id, row, text_key, text_sha256, group_size, keep_id, keep_row."""
+    small_batches(docs.sparkSession)
     keyed = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     keyed = keyed.withColumn("text_key", F.md5("text"))
     rows = keyed.withColumn("row", F.monotonically_increasing_id())

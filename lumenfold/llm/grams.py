@@ -17,7 +17,7 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 #: Bytes of text that are hashed at once.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

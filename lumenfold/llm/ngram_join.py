@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.llm import grams
+from lumenfold.llm.batches import small_batches
 from lumenfold.llm.components import components
 from lumenfold.session import materialize, materialize_counting
 
@@ -217,6 +218,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
     Null and empty texts and texts without words have no shingles, link with nothing, and keep their own id.
     Rows may repeat ids; a null id gets the smallest id of its component, or null. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id).alias("id"), F.col(text).cast("binary").alias("text"))
     ranks = column_ranks(count_columns(rows, words))
     keyed = rows.withColumn("text_key", F.xxhash64("text"))

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfold.llm import ngram_join
+from lumenfold.llm import chat, exact_dedup, mixing, ngram_join, pieces, quality, resharding, secrets
+
+#: A public model file; the driver reads it and sends it to the tasks.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 QUERIES, ORACLES = {}, {}
 
@@ -52,3 +55,137 @@ FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
 def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents linked at three words and 0.9."""
     return ngram_join.jaccard_components(documents(spark, folder), words=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op3_pieces")
+def op3_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document's best pieces, and whether they decode to its text."""
+    return pieces.encode(documents(spark, folder).select("doc_id", "text"), pieces.read_model(PIECES))
+
+
+@query("op4_resharding")
+def op4_resharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of 12 shards by text, moved to 16 shards of equal bytes; read from the rewritten files."""
+    docs = documents(spark, folder)
+    old = F.pmod(F.crc32(F.coalesce("text", F.lit("")).cast("binary")), F.lit(12))
+    done = resharding.reshard(docs, old, 12, 16)
+    return done.rows.select(
+        F.col("id").alias("doc_id"),
+        resharding.text_bytes(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "moved",
+    )
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts, base verdict and weakly supervised verdict of every document."""
+    found = quality.judged(documents(spark, folder))
+    counts = [F.col(f"q.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return found.select("doc_id", *counts, "base_failed", "kept", "p_good")
+
+
+@query("op7_secrets")
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    docs = documents(spark, folder)
+    found = secrets.scan(docs, secrets.train(secrets.samples_of(docs)))
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("bigint")
+    base = F.filter("found", lambda s: s["kind"] < secrets.KINDS.index("markov"))
+    counts = [count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    digest = F.sha2(secrets.listed(base), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secrets.listed(F.col("found")).alias("spans"))
+
+
+CHAT_SQL = """
+WITH rows AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), turns AS (
+  SELECT *, replace(replace(replace(text, '\\', '\\\\'), '<', '\\l'), '[', '\\b') AS escaped FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|im_start|>') + length(role) + 1 + length(escaped) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id""".replace("\\\\", "\\")
+
+
+@query("op8_chat", CHAT_SQL)
+def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations replayed from their event logs, formatted and read back."""
+    given = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"SELECT -7L AS conv_id, * FROM VALUES (0L, 'user', '{said}'), (1L, 'assistant', '{said}') AS t(turn, role, text)")
+    messages = chat.fold_events(chat.events_of_turns(given.unionByName(extra)))
+    read = chat.read_back(chat.render(messages))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = F.array_join("learned", "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.length(learned).cast("bigint").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+@query(
+    "op9_exact_dedup",
+    r"""
+WITH d AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS plain FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = min(doc_id) OVER same AS kept, sha256(plain) AS text_sha256
+FROM d WINDOW same AS (PARTITION BY plain)""",
+)
+def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Which document stays of each group of equal texts."""
+    return exact_dedup.exact_groups(documents(spark, folder))
+
+
+MIX_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('a' || source, 'z') AS key,
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5('0:' || doc_id) AS drawn
+  FROM documents
+), s AS (
+  SELECT key, sum(size)::BIGINT AS size,
+    (CASE (row_number() OVER (ORDER BY key) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END)::DOUBLE AS weight
+  FROM d GROUP BY key
+), level AS (
+  SELECT 0 AS step, (SELECT sum(size) / sum(weight) FROM s)::DOUBLE AS level, 0::BIGINT AS clamped
+  UNION ALL
+  SELECT step + 1, x.level, x.clamped FROM level, LATERAL (
+    SELECT (((SELECT sum(size) FROM s) - coalesce(sum(size * 3) FILTER (weight * level.level > size * 3), 0))
+      / sum(weight) FILTER (NOT weight * level.level > size * 3))::DOUBLE AS level,
+      count(*) FILTER (weight * level.level > size * 3) AS clamped FROM s) x
+  WHERE x.clamped > level.clamped
+), filled AS (
+  SELECT key, size AS source_size,
+    CASE WHEN weight * level > size * 3 THEN (size * 3)::DOUBLE ELSE weight * level END AS target
+  FROM s, (SELECT level FROM level ORDER BY step DESC LIMIT 1)
+), wanted AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM filled
+), summed AS (
+  SELECT doc_id, size, source_size, target, whole, target - whole * source_size AS rest,
+    sum(size) OVER (PARTITION BY d.key ORDER BY drawn, size ROWS UNBOUNDED PRECEDING) AS upto
+  FROM d JOIN wanted USING (key)
+)
+SELECT doc_id, size, source_size, target,
+  ((whole + CASE WHEN 2 * upto - size < 2 * rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM summed"""
+
+
+@query("op10_mixing", MIX_SQL)
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+    found = mixing.mix(documents(spark, folder), size, [5, 2, 1])
+    return found.select("doc_id", "size", "source_size", "target", "taken")

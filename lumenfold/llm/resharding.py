@@ -179,7 +179,7 @@ def reshard(docs: DataFrame, old: Column, n_old: int, n_new: int, text: str = "t
     placed_rows.where(F.col("shard").isin(kept)).write.partitionBy("shard").parquet(path)
     if not kept:
         return Resharded(placed_rows, path, kept, moved, shard_bytes)
-    schema = placed_rows.drop("shard").schema.add("shard", "int")
+    schema = placed_rows.drop("shard").schema.add("shard", "integer")
     rows = spark.read.schema(schema).parquet(path)
     if len(kept) < n_new:
         rows = rows.unionByName(placed_rows.where(~F.col("shard").isin(kept)))
