@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfold.llm import chat, exact_dedup, mixing, ngram_join, pieces, quality, resharding, secrets
+from lumenfold.llm import chat, exact_dedup, mixing, ngram_join, pieces, pii, quality, resharding, secrets, toxicity
 
 #: A public model file; the driver reads it and sends it to the tasks.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+#: A key for the tables of the tests; a user passes their own.
+PSEUDONYM_KEY = b"key for given tables"
 
 QUERIES, ORACLES = {}, {}
 
@@ -189,3 +191,21 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
     found = mixing.mix(documents(spark, folder), size, [5, 2, 1])
     return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op2_pii")
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with pseudonyms for personal data."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    return pii.pseudonymised(docs, PSEUDONYM_KEY).withColumn("n_pii", F.size("pii_spans").cast("bigint"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document; learned from the labels that are not held out."""
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    docs = documents(spark, folder).select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where(~held_out)
+    found = toxicity.scored(docs, toxicity.learn(docs, labels.select("doc_id", "toxic")))
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", predicted.alias("predicted"), "n_terms")
