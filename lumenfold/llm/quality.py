@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumenfold.llm.fence import fenced
+
 SPACE = " \\t\\n\\x0B\\f\\r"
 SYMBOLS = "#*$%&|<>"
 #: ASCII characters that are neither letters nor space.
@@ -22,38 +24,39 @@ WINDOW = 5
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with a struct column ``q`` of counts over the whole text; a null text counts as empty."""
-    plain = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    found = plain.withColumn("_words", F.transform(F.regexp_extract_all("_text", F.lit(f"([^{SPACE}]+)"), F.lit(1)), lambda w: F.xxhash64(w)))
-    found = found.withColumn("_lines", F.filter(F.split("_text", "\n", -1), lambda line: line.rlike(f"[^{SPACE}]")))
-    count = F.size("_words")
-    at = lambda i, k: F.get(F.col("_words"), i + k)
+    others = [c for c in docs.columns if c != "q"]
+    plain = docs.withColumn("_quality_text", F.coalesce(F.col(text), F.lit("")))
+    found = plain.withColumn("_quality_words", F.transform(F.regexp_extract_all("_quality_text", F.lit(f"([^{SPACE}]+)"), F.lit(1)), lambda w: F.xxhash64(w)))
+    found = found.withColumn("_quality_lines", F.filter(F.split("_quality_text", "\n", -1), lambda line: line.rlike(f"[^{SPACE}]")))
+    count = F.size("_quality_words")
+    at = lambda i, k: F.get(F.col("_quality_words"), i + k)
     windows = F.transform(F.sequence(F.lit(0), count - WINDOW), lambda i: F.xxhash64(*[at(i, k) for k in range(WINDOW)]))
-    found = found.withColumn("_windows", F.when(count >= WINDOW, windows).otherwise(F.array().cast("array<bigint>")))
+    found = found.withColumn("_quality_windows", F.when(count >= WINDOW, windows).otherwise(F.array().cast("array<bigint>")))
     # Texts without a repeated window, nearly all, are done here; the others sort their windows.
-    several = F.size("_windows") > F.size(F.array_distinct("_windows"))
-    placed = F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    found = found.withColumn("_sorted", F.when(several, placed))
-    same = lambda e, i, k: F.coalesce(F.get(F.col("_sorted"), i + k)["h"] == e["h"], F.lit(False))
-    again = F.filter("_sorted", lambda e, i: same(e, i, -1) | same(e, i, 1))
-    found = found.withColumn("_again", F.sort_array(F.transform(again, lambda e: e["i"])))
-    reach = F.transform("_again", lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get(F.col("_again"), i + 1) - p, F.lit(WINDOW))))
+    several = F.size("_quality_windows") > F.size(F.array_distinct("_quality_windows"))
+    placed = F.sort_array(F.transform("_quality_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    found = found.withColumn("_quality_sorted", F.when(several, placed))
+    same = lambda e, i, k: F.coalesce(F.get(F.col("_quality_sorted"), i + k)["h"] == e["h"], F.lit(False))
+    again = F.filter("_quality_sorted", lambda e, i: same(e, i, -1) | same(e, i, 1))
+    found = found.withColumn("_quality_again", F.sort_array(F.transform(again, lambda e: e["i"])))
+    reach = F.transform("_quality_again", lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get(F.col("_quality_again"), i + 1) - p, F.lit(WINDOW))))
     covered = F.aggregate(reach, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    chars = lambda gone: F.length("_text") - F.length(F.translate("_text", gone, ""))
+    chars = lambda gone: F.length("_quality_text") - F.length(F.translate("_quality_text", gone, ""))
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     measures = {
         "n_words": count,
-        "word_chars": F.length(F.translate("_text", " \t\n\x0b\x0c\r", "")),
+        "word_chars": F.length(F.translate("_quality_text", " \t\n\x0b\x0c\r", "")),
         "n_symbols": chars(SYMBOLS),
-        "n_lines": F.size("_lines"),
-        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
+        "n_lines": F.size("_quality_lines"),
+        "n_dup_lines": F.size("_quality_lines") - F.size(F.array_distinct("_quality_lines")),
         "n_repeat_words": F.coalesce(covered, F.lit(0)),
-        "n_distinct_words": F.size(F.array_distinct("_words")),
+        "n_distinct_words": F.size(F.array_distinct("_quality_words")),
         "n_upper": chars(upper),
         "n_shouts": chars("!?"),
         "n_marks": chars(MARKS),
     }
     q = F.struct(*[c.cast("bigint").alias(name) for name, c in measures.items()])
-    return found.withColumn("q", q).drop("_text", "_words", "_lines", "_windows", "_sorted", "_again")
+    return fenced(found, others, q=q)
 
 
 def _rule(bad: Column, good: Column) -> Column:

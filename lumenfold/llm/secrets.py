@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from lumenfold.llm.fence import fenced
+
 #: Kinds in the order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex", "markov")
 # The patterns of the three plain kinds. A run of a fixed class is taken whole, so a least length can
@@ -122,12 +124,12 @@ def scan(docs: DataFrame, weights: list[float], text: str = "text", threshold: f
     empty. Rows are scanned one by one, so repeats agree.
     """
     plain = F.coalesce(F.col(text), F.lit(""))
-    base = docs.withColumn("_text", plain).withColumn("_base", base_spans(F.col("_text")))
-    runs = _when(F.col("_text").rlike(RUN), _spans(F.col("_text"), RUN, "markov"))
-    base = base.withColumn("_runs", runs)
-    free = lambda r: ~F.exists("_base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-    scored = F.filter("_runs", lambda r: free(r) & (ratio(r["match"], weights) >= threshold))
-    return base.withColumn("found", F.array_sort(F.concat("_base", scored))).drop("_text", "_base", "_runs")
+    base = docs.withColumn("_secret_text", plain).withColumn("_secret_base", base_spans(F.col("_secret_text")))
+    runs = _when(F.col("_secret_text").rlike(RUN), _spans(F.col("_secret_text"), RUN, "markov"))
+    base = base.withColumn("_secret_runs", runs)
+    free = lambda r: ~F.exists("_secret_base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
+    scored = F.filter("_secret_runs", lambda r: free(r) & (ratio(r["match"], weights) >= threshold))
+    return fenced(base, [c for c in docs.columns if c != "found"], found=F.array_sort(F.concat("_secret_base", scored)))
 
 
 def listed(spans: Column) -> Column:
