@@ -5,26 +5,54 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lumenfold.llm import ngram_join
+from lumenfold.llm import exact_dedup, mixing, ngram_join, pieces, quality
+from lumenfold.llm.queries import PIECES
 from lumenfold.session import materialize
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the weighed rules find good; null and empty texts go."""
+    return quality.judged(docs).where("kept").select(*docs.columns)
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the smallest doc_id."""
+    return exact_dedup.keep_first(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares 0.8 of its five-word shingles."""
     return ngram_join.keep_representatives(docs, words=5, percent=80)
 
 
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: sources weigh 5, 2, 1 in turn, and none counts more than 3 times."""
+    size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+    return mixing.repeated(docs, mixing.mix(docs, size, [5, 2, 1]))
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source and n_chars with ids, n_tokens and round_trip in place of the text."""
+    return pieces.encode(docs, pieces.read_model(PIECES))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
+    ("exact_dedup", exact_duplicates),
     ("ngram_jaccard_join", near_duplicates),
+    ("source_mix", source_mix),
+    ("sentencepiece", token_ids),
 ]
 
-#: Expectation-maximisation and the search for the best pieces have no SQL form; tests hold each stage against a plain one.
+#: Expectation-maximisation and the search for the best pieces have no SQL form; tests hold the stages against plain ones.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of the mixed, cleaned documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
