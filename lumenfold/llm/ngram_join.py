@@ -37,7 +37,7 @@ from lumenfold.llm.components import components
 from lumenfold.session import materialize, materialize_counting
 
 #: Counters of the rarity estimate; their 8 bytes each are all that is sent to the driver and to the tasks.
-COUNTER_BITS = 18
+COUNTER_BITS = 20
 _PART_BITS = 10
 #: Up to this many wanted texts are sent to all tasks (16 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -48,15 +48,17 @@ def count_columns(texts: DataFrame, words: int, bits: int = COUNTER_BITS) -> np.
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << bits, np.int64)
+        held: list[np.ndarray] = []
+        size = 0
         for batch in batches:
-            held: list[np.ndarray] = []
             for found in grams.word_hashes(batch.column(0).to_pylist()):
-                held.append(grams.shingle_set(found, words) >> np.uint64(64 - bits))
-                if len(held) == 1000:
-                    total += np.bincount(np.concatenate(held).astype(np.int64), minlength=1 << bits)
-                    held = []
-            if held:
-                total += np.bincount(np.concatenate(held).astype(np.int64), minlength=1 << bits)
+                held.append((grams.shingle_set(found, words) >> np.uint64(64 - bits)).astype(np.int64))
+                size += len(held[-1])
+                if size >= total.size:
+                    total += np.bincount(np.concatenate(held), minlength=total.size)
+                    held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=total.size)
         yield _parts(dict(enumerate(total.reshape(-1, 1 << _PART_BITS))))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +85,7 @@ def _parts(counts: dict[int, np.ndarray]) -> pa.RecordBatch:
 def column_ranks(counts: np.ndarray) -> np.ndarray:
     """A small number per counter: 0 where the count is what chance gives, more the more it exceeds that."""
     usual = float(np.median(counts))
-    excess = np.maximum(0, counts - usual - 4 * math.sqrt(usual))
+    excess = np.maximum(0, counts - usual - 3 * math.sqrt(usual))
     return np.ceil(np.log2(1 + excess) * 2).astype(np.uint8)
 
 
