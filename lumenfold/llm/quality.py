@@ -81,14 +81,13 @@ def rules() -> dict[str, Column]:
     }
 
 
-def estimate(patterns: list[tuple[tuple[int | None, ...], int]], rounds: int = 200) -> tuple[float, list[dict]]:
+def estimate(patterns: list[tuple[tuple[int | None, ...], int]], width: int, rounds: int = 200) -> tuple[float, list[dict]]:
     """Expectation-maximisation over vote patterns with counts: log odds of good, and what each vote adds.
 
     Rules are taken as independent given the class. A fault shows in few rules, so it starts from the number of bad
     votes: none is likely good, one is open, two are likely bad. It ends when the posteriors settle (the rounds are
     a limit on an ascent that settles long before).
     """
-    width = len(patterns[0][0]) if patterns else 0
     total = sum(c for _, c in patterns) or 1
     share = []
     for votes, _ in patterns:
@@ -123,7 +122,7 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
     votes = rules()
     found = measured(docs, text)
     patterns = found.groupBy(*[vote.alias(name) for name, vote in votes.items()]).agg(F.count("*").alias("_rows")).collect()
-    prior, adds = estimate(sorted(((tuple(r)[:-1], r["_rows"]) for r in patterns), key=str))
+    prior, adds = estimate(sorted(((tuple(r)[:-1], r["_rows"]) for r in patterns), key=str), len(votes))
     odds = F.lit(prior)
     for name, vote, add in zip(votes, votes.values(), adds, strict=True):
         odds = odds + F.when(vote.isNull(), add[None]).when(vote == 1, add[1]).otherwise(add[0])
