@@ -90,9 +90,9 @@ def column_ranks(counts: np.ndarray) -> np.ndarray:
 
 
 def extra(n, percent: int):
-    """How many columns beyond the first are asked of a pair whose smaller set has n; a quarter of its slack."""
+    """How many columns beyond the first are asked of a pair whose smaller set has n; an eighth of its slack."""
     share = n * (100 - percent)
-    return F.floor(share / 400) if isinstance(n, Column) else share // 400
+    return F.floor(share / 800) if isinstance(n, Column) else share // 800
 
 
 def incidence(texts: DataFrame, words: int, percent: int, ranks: np.ndarray) -> DataFrame:
