@@ -14,17 +14,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.llm.fence import fenced
+from lumenfold.session import materialize
 
 SPACE = " \\t\\n\\x0B\\f\\r"
 SYMBOLS = "#*$%&|<>"
-#: ASCII characters that are neither letters nor space.
-MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
+#: ASCII characters that are neither letters nor space, as ranges.
+MARKS = r"!-@\[-`{-~"
 WINDOW = 5
 
 
-def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``q`` of counts over the whole text; a null text counts as empty."""
-    others = [c for c in docs.columns if c != "q"]
+def measured(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The ``keep`` columns of ``docs`` (all by default) with a struct column ``q`` of counts over the whole text.
+
+    A null text counts as empty.
+    """
+    others = [c for c in keep or docs.columns if c != "q"]
     plain = docs.withColumn("_quality_text", F.coalesce(F.col(text), F.lit("")))
     found = plain.withColumn("_quality_words", F.transform(F.regexp_extract_all("_quality_text", F.lit(f"([^{SPACE}]+)"), F.lit(1)), lambda w: F.xxhash64(w)))
     found = found.withColumn("_quality_lines", F.filter(F.split("_quality_text", "\n", -1), lambda line: line.rlike(f"[^{SPACE}]")))
@@ -41,17 +45,16 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     found = found.withColumn("_quality_again", F.sort_array(F.transform(again, lambda e: e["i"])))
     reach = F.transform("_quality_again", lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get(F.col("_quality_again"), i + 1) - p, F.lit(WINDOW))))
     covered = F.aggregate(reach, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    chars = lambda gone: F.length("_quality_text") - F.length(F.translate("_quality_text", gone, ""))
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    chars = lambda kind: F.length(F.regexp_replace("_quality_text", F.lit(f"[^{kind}]+"), F.lit("")))
     measures = {
         "n_words": count,
-        "word_chars": F.length(F.translate("_quality_text", " \t\n\x0b\x0c\r", "")),
+        "word_chars": F.length(F.regexp_replace("_quality_text", F.lit(f"[{SPACE}]+"), F.lit(""))),
         "n_symbols": chars(SYMBOLS),
         "n_lines": F.size("_quality_lines"),
         "n_dup_lines": F.size("_quality_lines") - F.size(F.array_distinct("_quality_lines")),
         "n_repeat_words": F.coalesce(covered, F.lit(0)),
         "n_distinct_words": F.size(F.array_distinct("_quality_words")),
-        "n_upper": chars(upper),
+        "n_upper": chars("A-Z"),
         "n_shouts": chars("!?"),
         "n_marks": chars(MARKS),
     }
@@ -112,15 +115,15 @@ def estimate(patterns: list[tuple[tuple[int | None, ...], int]], width: int, rou
     return prior, adds
 
 
-def judged(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with q, base_failed, p_good (the posterior) and kept.
+def judged(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The ``keep`` columns of ``docs`` (all by default) with q, base_failed, p_good (the posterior) and kept.
 
     Kept are texts that pass the base rule (10 words, at most a fifth of them in repeated windows) and are good
     with probability one half at least. Null and empty texts fail. Rows are judged one by one, so repeats agree;
     columns named like the new ones are replaced.
     """
     votes = rules()
-    found = measured(docs, text)
+    found = materialize(measured(docs, text, keep), "measured")  # both the counts of votes and the verdicts need it
     patterns = found.groupBy(*[vote.alias(name) for name, vote in votes.items()]).agg(F.count("*").alias("_rows")).collect()
     prior, adds = estimate(sorted(((tuple(r)[:-1], r["_rows"]) for r in patterns), key=str), len(votes))
     odds = F.lit(prior)

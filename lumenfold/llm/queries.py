@@ -86,7 +86,7 @@ def op4_resharding(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_quality")
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, base verdict and weakly supervised verdict of every document."""
-    found = quality.judged(documents(spark, folder))
+    found = quality.judged(documents(spark, folder), keep=["doc_id"])
     counts = [F.col(f"q.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return found.select("doc_id", *counts, "base_failed", "kept", "p_good")
 
