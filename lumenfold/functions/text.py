@@ -110,3 +110,13 @@ def id_prefix(prefix: str) -> str:
     """Clean a prefix parameter (a single driver-side string, not data)."""
     plain = unicodedata.normalize("NFKD", prefix).encode("ascii", "ignore").decode()
     return re.sub("[^a-z0-9]+", "-", plain.lower()).strip("-") or DEFAULT_ID_PREFIX
+
+
+def fixed(value: Column, decimals: int) -> Column:
+    """A number with this many decimals, rounded as its exact binary value (the JVM rounds the decimal text)."""
+
+    @F.arrow_udf(T.StringType())
+    def write(values: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else f"{v:.{decimals}f}" for v in values.to_pylist()], pa.string())
+
+    return write(value.cast("double"))

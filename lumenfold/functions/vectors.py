@@ -7,6 +7,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column
@@ -18,21 +19,33 @@ from lumenfold.functions.text import split_words
 VECTOR = T.ArrayType(T.FloatType())
 
 
+def present_rows(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Which rows of a list column hold a vector."""
+    return np.asarray(column.is_valid().to_pylist(), dtype=bool)
+
+
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """List column of equally long vectors as one float64 matrix."""
+    """List column of equally long vectors as one float64 matrix; a null vector is a row of zeros."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    if len(column) == 0:
-        return np.zeros((0, 0))
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.astype(np.float64).reshape(len(column), -1)
-
-
-def list_array(rows: np.ndarray) -> pa.Array:
-    """Matrix back to a float32 list column."""
+    there = present_rows(column)
+    if not there.any():
+        return np.zeros((len(column), 0))
+    lengths = pc.list_value_length(column.drop_null()).to_numpy(zero_copy_only=False)
+    if lengths.min() != lengths.max():
+        raise ValueError(f"vectors of {lengths.min()} and of {lengths.max()} numbers in one column")
+    rows = np.zeros((len(column), int(lengths[0])))
+    rows[there] = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lengths), -1)
+    return rows
+
+
+def list_array(rows: np.ndarray, there: np.ndarray | None = None) -> pa.Array:
+    """Matrix back to a float32 list column; rows that are not ``there`` are null."""
     n, width = rows.shape
-    offsets = pa.array(np.arange(0, (n + 1) * width, width, dtype=np.int32) if width else np.zeros(n + 1, np.int32))
-    return pa.ListArray.from_arrays(offsets, pa.array(rows.astype(np.float32).ravel()))
+    there = np.ones(n, bool) if there is None else there
+    offsets = pa.array(np.append(0, np.cumsum(there * width)).astype(np.int32))
+    mask = None if there.all() else pa.array(~there)
+    return pa.ListArray.from_arrays(offsets, pa.array(rows[there].astype(np.float32).ravel()), mask=mask)
 
 
 def unit_rows(rows: np.ndarray) -> np.ndarray:
@@ -43,7 +56,7 @@ def unit_rows(rows: np.ndarray) -> np.ndarray:
 
 @F.arrow_udf(VECTOR)
 def unit_vector(vectors: pa.Array) -> pa.Array:
-    return list_array(unit_rows(matrix(vectors)))
+    return list_array(unit_rows(matrix(vectors)), present_rows(vectors))
 
 
 def word_slots(dim: int):
@@ -78,7 +91,10 @@ def weigh_slots(counts: pa.Array, entries: pa.Array, containing: pa.Array) -> pa
 @F.arrow_udf(T.DoubleType())
 def row_dot(left: pa.Array, right: pa.Array) -> pa.Array:
     """Dot product of two vector columns."""
-    return pa.array((matrix(left) * matrix(right)).sum(axis=1) if len(left) else [], pa.float64())
+    there = present_rows(left) & present_rows(right)
+    a, b = matrix(left), matrix(right)
+    dots = (a * b).sum(axis=1) if there.any() else np.zeros(len(left))
+    return pa.array(dots, pa.float64(), mask=~there)
 
 
 def vector_sum(vector: Column) -> Column:

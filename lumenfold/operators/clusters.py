@@ -11,7 +11,7 @@ from lumenfold.functions import text as tx
 from lumenfold.functions import vectors as vx
 from lumenfold.operators import communities as cm
 from lumenfold.operators import graph, labels, sweep
-from lumenfold.operators.embed import embed_entries, slot_rarity
+from lumenfold.operators.embed import embed_entries, require_vectors, slot_rarity
 from lumenfold.operators.shape import all_text, normalize_entries, resolve_entry_id, with_builder_text
 from lumenfold.schema import (
     DEFAULT_ID_PREFIX,
@@ -143,6 +143,8 @@ def build_cluster_index(
     the loosest threshold, and each setting filters it.
     """
     entries = with_builder_text(_prepare(entries), text)
+    if vectors is not None:
+        require_vectors(entries, vectors)
     builtin = vectors is None and vectorizer is None
     rarity = materialize(slot_rarity(entries), "slot-rarity") if builtin else None
     embedded = embed_entries(
@@ -283,6 +285,8 @@ def assign_entries(
     the index.
     """
     entries = _prepare(entries)
+    if vectors is not None:
+        require_vectors(entries, vectors)
     keep = ["entry_id", "entry_index"]
     embedded = embed_entries(
         entries, text=text, vectors=vectors, vectorizer=vectorizer, rarity=index.rarity, keep=keep

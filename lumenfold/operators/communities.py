@@ -2,13 +2,21 @@
 
 Quality: Q = 1/2m · Σ (w_ij − γ·k_i·k_j / 2m) over pairs in one community
 (Reichardt & Bornholdt 2006). Local moves with contraction (Blondel et al. 2008)
-run for every scope and every sweep setting in the same plan; the final step
-splits communities that are not connected (Traag et al. 2019). State between
-rounds is stored in the shared folder. Only counts reach the driver.
+run for every scope and every sweep setting in the same plan; then single nodes
+move until none improves, and communities that are not connected are split
+(Traag et al. 2019), until neither changes anything. State between rounds is
+stored in the shared folder. Only counts reach the driver.
+
+Why it ends: a level starts with some rounds in which all nodes move at once,
+which is fast but need not raise Q. After those, a community takes part in one
+move of a round at most, so the gains add up exactly and Q rises every round;
+there are finitely many partitions. A contraction that merges leaves fewer
+nodes. A split of an unconnected community never lowers Q.
 """
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -22,14 +30,19 @@ EPSILON = 1e-12
 DROP_SETTLED_EVERY = 4
 
 
-def _move_round(links: DataFrame, state: DataFrame, keys: list[str], salt: str, backward: bool) -> DataFrame:
-    """One synchronous round: every node looks at the communities next door.
+#: Rounds in which all nodes move at once, before moves are made one per community.
+FAST_ROUNDS = 24
+
+
+def _move_round(links: DataFrame, state: DataFrame, keys: list[str], salt: str, backward: bool, exclusive: bool = False) -> DataFrame:
+    """One round: every node looks at the communities next door.
 
     A node whose best community beats staying moves if that community comes
     before its own in this round's order, a hash of label and round. An order
     runs one way, so two neighbours can never swap places; every second round
     runs ``backward``, so no move waits longer than that. Ties go to the smaller
-    label.
+    label. In an ``exclusive`` round a node moves if no better move touches its
+    own or its new community; the best move of all always happens.
     """
     near = links.join(state.select(*keys, F.col("node").alias("dst"), "label"), [*keys, "dst"]).select(
         *keys, F.col("src").alias("node"), "label", "w"
@@ -48,6 +61,8 @@ def _move_round(links: DataFrame, state: DataFrame, keys: list[str], salt: str,
         *[F.first(c).alias(c) for c in ("own", "k", "two_m", "resolution")],
     )
     improving = F.col("best_gain") > F.col("stay_gain") + EPSILON
+    if exclusive:
+        return _exclusive_moves(best.withColumn("improving", improving), keys)
     ahead, behind = ("own", "best") if backward else ("best", "own")
     onward = F.xxhash64(ahead, F.lit(salt)) < F.xxhash64(behind, F.lit(salt))
     return best.select(
@@ -61,13 +76,27 @@ def _move_round(links: DataFrame, state: DataFrame, keys: list[str], salt: str,
     )
 
 
-def _settle(links: DataFrame, state: DataFrame, keys: list[str], salt: str, rounds: int) -> DataFrame:
+def _exclusive_moves(best: DataFrame, keys: list[str]) -> DataFrame:
+    """The state after the moves that are the best ones of both communities they touch."""
+    move = F.struct((F.col("best_gain") - F.col("stay_gain")).alias("delta"), (-F.col("node")).alias("node"))
+    moves = best.where("improving").select(*keys, "node", "own", "best", move.alias("move"))
+    touched = moves.select(*keys, F.explode(F.array("own", "best")).alias("label"), "move")
+    top = touched.groupBy(*keys, "label").agg(F.max("move").alias("top"))
+    first = lambda side: top.select(*keys, F.col("label").alias(side), F.col("top").alias(f"top_{side}"))
+    chosen = moves.join(first("own"), [*keys, "own"]).join(first("best"), [*keys, "best"])
+    chosen = chosen.where((F.col("move") == F.col("top_own")) & (F.col("move") == F.col("top_best")))
+    chosen = chosen.select(*keys, "node", F.col("best").alias("_to"))
+    return best.join(chosen, [*keys, "node"], "left").select(
+        *keys, "node", F.coalesce("_to", "own").alias("label"), "k", "two_m", "resolution", "improving"
+    )
+
+
+def _settle(links: DataFrame, state: DataFrame, keys: list[str], salt: str, fast: int = FAST_ROUNDS) -> DataFrame:
     """Repeat rounds until no node of any key improves. Every few rounds the settled keys leave the loop."""
     settled, active = [], state
-    for number in range(rounds):
-        moved, left = materialize_counting(
-            _move_round(links, active, keys, f"{salt}:{number // 2}", number % 2 == 1), "round", F.col("improving")
-        )
+    for number in itertools.count():
+        made = _move_round(links, active, keys, f"{salt}:{number // 2}", number % 2 == 1, number >= fast)
+        moved, left = materialize_counting(made, "round", F.col("improving"))
         active = moved.drop("improving")
         if not left:
             break
@@ -78,14 +107,15 @@ def _settle(links: DataFrame, state: DataFrame, keys: list[str], salt: str, roun
     return reduce(DataFrame.unionByName, [*settled, active])
 
 
-def connected_components(links: DataFrame, nodes: DataFrame, keys: list[str], rounds: int = 60) -> DataFrame:
+def connected_components(links: DataFrame, nodes: DataFrame, keys: list[str]) -> DataFrame:
     """Smallest node id of each node's component: ``(keys, node, component)``.
 
     ``links`` holds both directions. Each round takes the smallest label next
-    door and then the label of that label, so paths halve in length.
+    door and then the label of that label, so paths halve in length. Labels only
+    sink, so it ends.
     """
     state = nodes.select(*keys, "node", F.col("node").alias("component"))
-    for _ in range(rounds):
+    while True:
         near = (
             links.join(state.select(*keys, F.col("node").alias("dst"), "component"), [*keys, "dst"])
             .groupBy(*keys, F.col("src").alias("node"))
@@ -105,7 +135,6 @@ def connected_components(links: DataFrame, nodes: DataFrame, keys: list[str], ro
         state = jumped.drop("old")
         if not changed:
             return state
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 def detect_communities(
@@ -114,14 +143,13 @@ def detect_communities(
     *,
     resolution: float | None = None,
     seed: int = DEFAULT_SEED,
-    rounds: int = 25,
-    levels: int = 8,
 ) -> DataFrame:
     """Community of every node that has an edge: ``(keys, node, community)``.
 
     ``edges`` is ``(keys, src < dst, w)`` with a ``resolution`` column unless one
     value is given. The community is named after its smallest member. Nodes
-    without an edge are communities of their own and are not listed.
+    without an edge are communities of their own and are not listed. No single
+    node can raise the quality by moving to a community next to it.
     """
     if resolution is not None:
         edges = edges.withColumn("resolution", F.lit(float(resolution)))
@@ -136,10 +164,10 @@ def detect_communities(
     placed = nodes.select(*keys, "node", F.col("node").alias("label"))
 
     level_nodes, level_links = nodes, links
-    for level in range(levels):
+    for level in itertools.count():
         state = level_nodes.withColumn("label", F.col("node"))
         state, merged = materialize_counting(
-            _settle(level_links, state, keys, f"{seed}:{level}", rounds), "settled", F.expr("label <> node")
+            _settle(level_links, state, keys, f"{seed}:{level}"), "settled", F.expr("label <> node")
         )
         moved = state.select(*keys, F.col("node").alias("label"), F.col("label").alias("_to"))
         placed = placed.join(moved, [*keys, "label"]).select(*keys, "node", F.col("_to").alias("label"))
@@ -161,14 +189,34 @@ def detect_communities(
             .agg(F.sum("w").alias("w")),
             "level-links",
         )
-    placed = materialize(placed, "placed")
-    inside = (
-        links.join(placed.select(*keys, F.col("node").alias("src"), F.col("label").alias("_a")), [*keys, "src"])
-        .join(placed.select(*keys, F.col("node").alias("dst"), F.col("label").alias("_b")), [*keys, "dst"])
-        .where("_a = _b")
-        .select(*keys, "src", "dst")
-    )
-    return connected_components(materialize(inside, "inside"), placed, keys).withColumnRenamed("component", "community")
+    while True:
+        state = nodes.join(placed.select(*keys, "node", "label"), [*keys, "node"])
+        state = materialize(_settle(links, state, keys, f"{seed}:nodes", 0), "refined")
+        placed = state.select(*keys, "node", "label")
+        inside = (
+            links.join(placed.select(*keys, F.col("node").alias("src"), F.col("label").alias("_a")), [*keys, "src"])
+            .join(placed.select(*keys, F.col("node").alias("dst"), F.col("label").alias("_b")), [*keys, "dst"])
+            .where("_a = _b")
+            .select(*keys, "src", "dst")
+        )
+        parts = connected_components(materialize(inside, "inside"), placed, keys)
+        sizes = placed.groupBy(*keys, "label").agg(F.min("node").alias("_least"))
+        named = placed.join(parts, [*keys, "node"]).join(sizes, [*keys, "label"])
+        named, split = materialize_counting(named, "parts", F.expr("component <> _least"))
+        if not split:
+            return named.select(*keys, "node", F.col("component").alias("community"))
+        placed = named.select(*keys, "node", F.col("component").alias("label"))
+
+
+def improving_moves(edges: DataFrame, placed: DataFrame, keys: list[str], resolution: float) -> DataFrame:
+    """Nodes that would raise the quality by moving to a community next to them: ``(keys, node)``."""
+    flip = edges.select(*keys, F.col("dst").alias("src"), F.col("src").alias("dst"), "w")
+    links = edges.select(*keys, "src", "dst", "w").unionByName(flip)
+    strengths = links.groupBy(*keys, F.col("src").alias("node")).agg(F.sum("w").alias("k"))
+    totals = strengths.groupBy(*keys).agg(F.sum("k").alias("two_m"))
+    state = strengths.join(totals, keys).join(placed.select(*keys, "node", F.col("community").alias("label")), [*keys, "node"])
+    moves = _move_round(links, state.withColumn("resolution", F.lit(float(resolution))), keys, "", False)
+    return moves.where("improving").select(*keys, "node")
 
 
 def quality(edges: DataFrame, placed: DataFrame, keys: list[str], resolution: float) -> DataFrame:

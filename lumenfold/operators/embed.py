@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.functions import vectors as vx
-from lumenfold.operators.shape import embedding_text
+from lumenfold.operators.shape import embedding_text, resolve_entry_id
 from lumenfold.schema import SCOPE
 
 
@@ -59,18 +59,24 @@ def embed_entries(
 
 
 def check_vectors(entries: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Per scope: expected and found vectors and their shortest and longest length."""
-    found = vectors.groupBy(*SCOPE).agg(
-        F.count("vector").alias("items"), F.min(F.size("vector")).alias("shortest"), F.max(F.size("vector")).alias("longest")
+    """Per scope of the entries: how many vectors are expected and there, their shortest and longest length.
+
+    A vector counts for the entry it belongs to; ``orphans`` are those of no entry.
+    """
+    ids = [*SCOPE, "entry_id"]
+    entries = entries if "entry_id" in entries.columns else resolve_entry_id(entries)
+    given = vectors.groupBy(*ids).agg(
+        F.count("vector").alias("_there"), F.min(F.size("vector")).alias("_short"), F.max(F.size("vector")).alias("_long")
     )
-    expected = entries.groupBy(*SCOPE).agg(F.count("*").alias("expected"))
-    return expected.join(found, SCOPE, "left").select(
-        *SCOPE,
-        "expected",
-        F.coalesce("items", F.lit(0)).alias("items"),
-        F.coalesce("shortest", F.lit(0)).alias("shortest"),
-        F.coalesce("longest", F.lit(0)).alias("longest"),
+    wanted = entries.select(*ids).withColumn("_wanted", F.lit(True))
+    joined = wanted.join(given, ids, "full_outer").groupBy(*SCOPE).agg(
+        F.count("_wanted").alias("expected"),
+        F.count(F.when(F.col("_wanted") & (F.col("_there") > 0), 1)).alias("items"),
+        F.coalesce(F.min(F.when(F.col("_wanted"), F.col("_short"))), F.lit(0)).alias("shortest"),
+        F.coalesce(F.max(F.when(F.col("_wanted"), F.col("_long"))), F.lit(0)).alias("longest"),
+        F.count(F.when(F.col("_wanted").isNull(), 1)).alias("orphans"),
     )
+    return joined.where("expected > 0")
 
 
 def require_vectors(entries: DataFrame, vectors: DataFrame) -> None:

@@ -167,7 +167,7 @@ def mutual_edges(knn: DataFrame, min_similarity: float) -> DataFrame:
 def best_matches(
     left: DataFrame,
     right: DataFrame,
-    k: int,
+    k: int | None,
     min_similarity: float = -2.0,
     above: bool = False,
     block_rows: int = BLOCK_ROWS,
@@ -175,7 +175,9 @@ def best_matches(
     """The ``k`` most similar rows of ``right`` for each row of ``left`` in the same scope.
 
     ``left`` is ``(scope, left_id, vector[, threshold])`` and ``right`` ``(scope,
-    right_id string, vector)``. Ties go to the smaller ``right_id``. A
+    right_id string, vector)``. Ties go to the smaller ``right_id``; of rows with
+    the same ``right_id`` the best one counts. Without ``k`` all rows above the
+    floor are matches. A
     ``threshold`` column on the left sets the floor per row, else
     ``min_similarity`` does (exclusive with ``above``). ``left`` is repeated once
     per right block: a small right side is one block, so nothing is repeated.
@@ -208,15 +210,18 @@ def best_matches(
             names = rights["right_id"].to_pylist()
             order = np.array(sorted(range(len(names)), key=names.__getitem__))
             sims = np.round(matrix(lefts["vector"]) @ matrix(rights["vector"])[order].T, DECIMALS) + 0.0
+            names = [names[i] for i in order]
+            starts = [i for i, name in enumerate(names) if i == 0 or name != names[i - 1]]
+            names, sims = [names[i] for i in starts], np.maximum.reduceat(sims, starts, axis=1)
             floor = lefts["threshold"].to_numpy()[:, None] if with_floor else min_similarity
             sims[(sims <= floor) if above else (sims < floor)] = -np.inf
-            r, c = _best(sims, k, -2.0)
+            r, c = _best(sims, len(names) if k is None else k, -2.0)
             n = len(r)
         if n == 0:
             r = c = np.zeros(0, np.int64)
             picked, sim, lefts_out = [], np.zeros(0), pa.array([], arrow_id)
         else:
-            picked = [names[i] for i in order[c]]
+            picked = [names[i] for i in c]
             sim, lefts_out = sims[r, c], lefts["left_id"].combine_chunks().take(pa.array(r))
         return pa.table(
             {
@@ -235,4 +240,5 @@ def best_matches(
         .applyInArrow(match, f"app_id string, user_id string, left_id {id_type}, right_id string, sim double")
     )
     rank = F.row_number().over(Window.partitionBy(*SCOPE, "left_id").orderBy(F.desc("sim"), "right_id"))
-    return pieces.withColumn("rank", rank).where(F.col("rank") <= k)
+    ranked = pieces.withColumn("rank", rank)
+    return ranked if k is None else ranked.where(F.col("rank") <= k)

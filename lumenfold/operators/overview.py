@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenfold.functions import text as tx
 from lumenfold.operators.entities import scope_counts
 from lumenfold.operators.graph import best_matches
 from lumenfold.operators.retrieval import ENTITY, QUERY
@@ -77,22 +78,19 @@ def entity_overview_by_query(
 ) -> DataFrame:
     """Entities by the best cosine of their catalysts to each query.
 
-    With at most ``m`` catalysts per entity, the first ``top`` entities are
-    among the first ``top · m`` catalysts, so the cut is exact; equal catalysts
-    are put in the order of their entities for it.
+    The catalysts of an entity share a block of the search, which keeps the best of them, so the cut to ``top`` is
+    made on entities; equal ones are put in the order of their names.
     """
-    most = catalysts.groupBy(*ENTITY).count().agg(F.max("count")).first()[0] or 1
-    place = F.concat_ws("\x01", "entity", "entity_type", "catalyst_id")
+    place = F.concat_ws("\x01", "entity", "entity_type")
     found = best_matches(
         queries.select(*SCOPE, F.col("query_id").alias("left_id"), "vector"),
         catalysts.select(*SCOPE, place.alias("right_id"), "vector"),
-        top * int(most),
+        top,
     )
     relevance = (
-        found.withColumnsRenamed({"left_id": "query_id", "right_id": "_place"})
-        .join(catalysts.select(*ENTITY, place.alias("_place")), [*SCOPE, "_place"])
-        .groupBy(*QUERY, "entity_type", "entity")
-        .agg(F.max("sim").alias("relevance"))
+        found.select(*SCOPE, F.col("left_id").alias("query_id"), F.col("right_id").alias("_place"), F.col("sim").alias("relevance"))
+        .join(catalysts.select(*ENTITY, place.alias("_place")).distinct(), [*SCOPE, "_place"])
+        .drop("_place")
     )
     order = Window.partitionBy(*QUERY).orderBy(F.desc("relevance"), "entity", "entity_type")
     ranked = relevance.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
@@ -151,8 +149,8 @@ def render_search_context(
     """
     guidance = F.coalesce(F.array_join("guidance", "; "), F.lit(""))
     signal = F.format_string(
-        "- **%s**: %s (relevance: %.2f, routed %d results%s)",
-        "entity", "text", "relevance", "contribution_count",
+        "- **%s**: %s (relevance: %s, routed %d results%s)",
+        "entity", "text", tx.fixed(F.col("relevance"), 2), "contribution_count",
         F.when(guidance != "", F.concat(F.lit(" — "), guidance)).otherwise(""),
     )
     order = F.struct(-F.col("relevance"), F.col("catalyst_id"), signal.alias("line"))
@@ -162,7 +160,7 @@ def render_search_context(
     shown = F.when(
         F.length("content") > max_chars, F.concat(F.substring("content", 1, max_chars), F.lit("\n[...truncated]"))
     ).otherwise(F.col("content"))
-    head = F.format_string("#### %d. %s (similarity: %.3f)", "rank", "name", "similarity")
+    head = F.format_string("#### %d. %s (similarity: %s)", "rank", "name", tx.fixed(F.col("similarity"), 3))
     document = F.struct("rank", F.concat_ws("\n", head, shown, F.lit("")).alias("line"))
     documents = results.groupBy(*QUERY).agg(
         F.transform(F.array_sort(F.collect_list(document)), lambda d: d["line"]).alias("_documents")
@@ -185,8 +183,8 @@ def render_overview_context(overview: DataFrame, max_catalysts: int = 5) -> Data
     days = F.col("days_since_last_seen")
     fresh = F.when(days > 0, F.format_string("last seen: %dd ago", days)).otherwise("active today")
     head = F.format_string(
-        "### %s: %s (%d occurrences, %s, recency: %.1f, %s)",
-        "entity_type", "entity", "frequency", "activity_trend", "recency_score", fresh,
+        "### %s: %s (%d occurrences, %s, recency: %s, %s)",
+        "entity_type", "entity", "frequency", "activity_trend", tx.fixed(F.col("recency_score"), 1), fresh,
     )
     shown = F.filter(F.slice("catalysts", 1, max_catalysts), lambda t: t != "")
     lines = F.concat(F.array(head), F.transform(shown, lambda t: F.concat(F.lit("  - "), t)), F.array(F.lit("")))

@@ -2,8 +2,8 @@
 
 Definitions: relevance(q, c) is the cosine of query and catalyst; an entry
 belongs to a catalyst if it mentions its entity, with association cos(c, d);
-similarity(q, d) is the largest relevance · max(association, 0) over the ten
-most relevant catalysts with positive relevance.
+similarity(q, d) is the largest relevance · max(association, 0) over all
+catalysts with positive relevance.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from lumenfold.operators.labels import contrast_keywords
 from lumenfold.schema import SCOPE
 from lumenfold.session import materialize
 
-KEPT_CATALYSTS = 10
 ENTITY = [*SCOPE, "entity_type", "entity"]
 QUERY = [*SCOPE, "query_id"]
 
@@ -97,12 +96,12 @@ def catalyst_documents(catalysts: DataFrame, mentions: DataFrame, vectors: DataF
     )
 
 
-def relevant_catalysts(queries: DataFrame, catalysts: DataFrame, limit: int = KEPT_CATALYSTS) -> DataFrame:
-    """``(query, catalyst_id, relevance)``: the most relevant catalysts with positive relevance."""
+def relevant_catalysts(queries: DataFrame, catalysts: DataFrame) -> DataFrame:
+    """``(query, catalyst_id, relevance)``: the catalysts with positive relevance."""
     found = best_matches(
         queries.select(*SCOPE, F.col("query_id").alias("left_id"), "vector"),
         catalysts.select(*SCOPE, F.col("catalyst_id").alias("right_id"), "vector"),
-        limit,
+        None,
         0.0,
         above=True,
     )
@@ -201,12 +200,13 @@ def scope_search(
     """One search over all collections of a user.
 
     Catalysts and their entries may come per collection (``collection_id``);
-    they are searched together and the collection is not shown. Result rows are
+    they are searched together, each once, and the collection is not shown. Result rows are
     what an app needs to show the item: primitive, source id, title, snippet,
     URL, time, metadata, similarity.
     """
-    together = catalysts.drop("collection_id")
-    found = catalyze(queries, together, documents.drop("collection_id"), limit=limit, register=register)
+    together = catalysts.drop("collection_id").dropDuplicates([*SCOPE, "catalyst_id"])
+    reached = documents.drop("collection_id").dropDuplicates([*SCOPE, "catalyst_id", "entry_id"])
+    found = catalyze(queries, together, reached, limit=limit, register=register)
     get = lambda name: F.col(name) if name in entries.columns else F.lit(None).cast("string")
     shown = entries.select(
         *SCOPE,

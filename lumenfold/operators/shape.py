@@ -34,7 +34,7 @@ def normalize_rows(df: DataFrame, as_of: str) -> DataFrame:
     recipe = F.coalesce(tx.first_present(get("recipe_name"), get("recipeName")), F.lit(""))
     comment = F.coalesce(tx.first_present(get("comment"), get("commentBody")), F.lit(""))
     return df.select(
-        "seq",
+        column_or_null(df, "seq", "long").alias("seq"),
         F.coalesce(tx.first_present(get("user_key"), get("userDisplayName")), user_id).alias("user_key"),
         user_id.alias("user_id"),
         tx.strip(recipe).alias("recipe_name"),
@@ -59,29 +59,20 @@ def filter_user(rows: DataFrame, user: str, target_id: str | None = None) -> Dat
     return rows.where((F.col("user_key") == user) | (F.col("user_id") == (target_id or user)))
 
 
-def group_entries(
-    rows: DataFrame, users: DataFrame | None = None, min_len: int = 50, label: str = "Recipe: ", part_rows: int = 100_000
-) -> DataFrame:
+def group_entries(rows: DataFrame, users: DataFrame | None = None, min_len: int = 50, label: str = "Recipe: ") -> DataFrame:
     """One entry per (user, recipe), its notes the comments in arrival order.
 
-    Rows without a recipe or with at most ``min_len`` characters are dropped. A
-    pair with more than ``part_rows`` rows is continued over several entries,
-    told apart by ``part`` (0 for everything else): no comment is lost and no
-    task has to hold more than ``part_rows`` of them. One shuffle; the hot pairs
-    come from a count that is combined on the map side and reads only the keys.
+    Rows without a recipe or with at most ``min_len`` characters are dropped.
+    An entry is one row, so the comments of a pair meet in it, whatever their
+    number. One shuffle.
     """
     if users is not None:
         rows = filter_users(rows, users)
     pair = ["user_id", "recipe_name"]
-    named = rows.where(F.col("recipe_name") != "")
-    hot = named.groupBy(*pair).count().where(F.col("count") > part_rows).select(*pair, F.lit(True).alias("_hot"))
-    kept = named.where(F.length("comment") > min_len)
-    parts = kept.join(hot, pair, "left").withColumn(
-        "part", F.when(F.col("_hot"), F.floor(F.col("seq") / part_rows)).otherwise(0).cast("int")
-    )
+    kept = rows.where((F.col("recipe_name") != "") & (F.length("comment") > min_len))
     title = tx.title_case(F.regexp_replace("recipe_name", "-", " "))
     return (
-        parts.groupBy(*pair, "part")
+        kept.groupBy(*pair)
         .agg(
             F.array_join(
                 F.transform(F.array_sort(F.collect_list(F.struct("seq", "comment"))), lambda c: c["comment"]), "\n\n"
@@ -91,7 +82,7 @@ def group_entries(
             F.min("seq").alias("seq"),
         )
         .select(
-            "user_id", "user_key", "recipe_name", "part", "seq",
+            "user_id", "user_key", "recipe_name", "seq",
             title.alias("title"),
             F.concat(F.lit(label), title).alias("content"),
             "notes",
@@ -103,7 +94,7 @@ def group_entries(
 
 def order_entries(entries: DataFrame) -> DataFrame:
     """Total order by user key, date and recipe (a range-partitioned sort)."""
-    return entries.orderBy("user_key", "created_at", "recipe_name", "part")
+    return entries.orderBy("user_key", "created_at", "recipe_name")
 
 
 # The observation rules. phrases → (suffix, topic, summary pattern).
@@ -141,7 +132,7 @@ def derive_observations(entries: DataFrame, rules=OBSERVATION_RULES) -> DataFram
             )
         )
     return entries.withColumn("activity", F.explode(F.filter(F.array(*made), lambda a: a.isNotNull()))).select(
-        "user_id", "user_key", "recipe_name", "part", "created_at", "activity.*"
+        "user_id", "user_key", "recipe_name", "created_at", "activity.*"
     )
 
 
@@ -230,8 +221,12 @@ def primary_collection(df: DataFrame, corpus: str = "content") -> DataFrame:
     )
 
 
-def clean_tags(tags: Column) -> Column:
-    """Tags without nulls and empty strings; duplicates stay, null becomes empty."""
+def clean_tags(tags: Column, kind: str = "array") -> Column:
+    """Tags without nulls and empty strings; duplicates stay, null becomes empty.
+
+    With ``kind`` "scalar" the column holds one tag, not an array.
+    """
+    tags = F.array(tags.cast("string")) if kind == "scalar" else tags
     kept = F.filter(tags, lambda t: t.isNotNull() & (t != ""))
     return F.coalesce(kept, F.array().cast("array<string>"))
 
@@ -264,7 +259,10 @@ def require_declared(df: DataFrame, declared: list[str]) -> DataFrame:
 def created_at(value: Column) -> Column:
     """ISO text (naive means UTC), a date, or epoch milliseconds as one instant."""
     millis = F.timestamp_millis(F.when(value.rlike("^-?[0-9]+$"), value).cast("long"))
-    return F.coalesce(millis, F.try_to_timestamp(value))
+    zoned = value.rlike("([zZ]|[+-][0-9]{2}:?[0-9]{2})$")
+    utc = F.when(zoned, value).when(value.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.concat(value, F.lit("T00:00:00Z")))
+    utc = utc.when(value.rlike("[T ][0-9]{1,2}:[0-9]{1,2}$"), F.concat(value, F.lit(":00Z")))
+    return F.coalesce(millis, F.try_to_timestamp(utc.otherwise(F.concat(value, F.lit("Z")))))
 
 
 def resolve_entry_id(df: DataFrame, seq: str = "seq") -> DataFrame:

@@ -11,7 +11,7 @@ from lumenfold.operators import embed, graph, labels, shape, sweep
 from lumenfold.plans import data
 from lumenfold.plans.registry import query
 from lumenfold.schema import SCOPE, SWEEP
-from lumenfold.session import scratch_path
+from lumenfold.session import materialize, scratch_path
 from lumenfold.sources import store
 from lumenfold.streaming import saves as st
 
@@ -61,16 +61,16 @@ def normalize_vectors(spark, d):
 )
 def check_vectors(spark, d):
     entries = data.entries(spark, d)
-    given = data.vectors(spark, d).withColumn("app_id", F.lit("notes"))
+    given = data.vectors(spark, d).withColumns({"app_id": F.lit("notes"), "entry_id": F.concat(F.lit("doc-"), "seq")})
     return embed.check_vectors(entries, given).select(
         "user_id", "expected", "items", F.col("shortest").cast("long").alias("shortest"), F.col("longest").cast("long").alias("longest")
     )
 
 
-_SIMS = f"""WITH {data.VECTORS_SQL}, sims AS (
+_SIMS = f"""WITH {data.VECTORS_SQL}, sims AS MATERIALIZED (
   SELECT a.user_id, a.entry_index AS src, b.entry_index AS dst, round(list_dot_product(a.v, b.v), 9) AS sim
   FROM vecs a JOIN vecs b ON a.user_id = b.user_id AND a.entry_index <> b.entry_index),
-knn AS (SELECT *, row_number() OVER (PARTITION BY user_id, src ORDER BY sim DESC, dst) AS rank FROM sims QUALIFY rank <= 10),
+knn AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY user_id, src ORDER BY sim DESC, dst) AS rank FROM sims QUALIFY rank <= 10),
 edges AS (SELECT a.user_id, a.src, a.dst, a.sim AS w FROM knn a JOIN knn b ON a.user_id = b.user_id AND a.src = b.dst AND a.dst = b.src
   WHERE a.src < a.dst AND a.sim >= 0.25)"""
 
@@ -113,6 +113,31 @@ def detect_communities(spark, d):
     return cm.detect_communities(_edges(spark, d), SCOPE, resolution=0.0).drop("app_id")
 
 
+@query(
+    "check_communities",
+    f"""{_SIMS} SELECT user_id, count(DISTINCT node) AS nodes, 0 AS improving, 0 AS across, true AS better
+    FROM (SELECT user_id, src AS node FROM edges UNION ALL SELECT user_id, dst FROM edges) GROUP BY user_id""",
+)
+def check_communities(spark, d):
+    """Of communities at resolution 1: nodes that one move would improve, communities that reach over
+    components, and whether the quality is at least that of the components."""
+    edges = materialize(_edges(spark, d), "edges")
+    placed = materialize(cm.detect_communities(edges, SCOPE, resolution=1.0), "placed")
+    flip = edges.select(*SCOPE, F.col("dst").alias("src"), F.col("src").alias("dst"))
+    whole = cm.connected_components(edges.select(*SCOPE, "src", "dst").unionByName(flip), placed, SCOPE)
+    both = placed.join(whole.select(*SCOPE, "node", "component"), [*SCOPE, "node"])
+    spread = both.groupBy(*SCOPE, "community").agg(F.count_distinct("component").alias("parts"), F.count("*").alias("nodes"))
+    sums = spread.groupBy(*SCOPE).agg(F.sum("nodes").alias("nodes"), F.sum((F.col("parts") > 1).cast("int")).alias("across"))
+    open_ = cm.improving_moves(edges, placed, SCOPE, 1.0).groupBy(*SCOPE).agg(F.count("*").alias("improving"))
+    found = cm.quality(edges, placed, SCOPE, 1.0).withColumnRenamed("quality", "found")
+    plain = cm.quality(edges, whole.withColumnRenamed("component", "community"), SCOPE, 1.0)
+    joined = sums.join(open_, SCOPE, "left").join(found, SCOPE).join(plain, SCOPE)
+    return joined.select(
+        "user_id", "nodes", F.coalesce("improving", F.lit(0)).cast("int").alias("improving"), F.col("across").cast("int").alias("across"),
+        (F.col("found") >= F.col("quality") - 1e-9).alias("better"),
+    )
+
+
 @query("detect_communities_resolution")
 def detect_communities_resolution(spark, d):
     return cm.detect_communities(_edges(spark, d), SCOPE, resolution=1.0).drop("app_id")
@@ -378,7 +403,7 @@ def cluster_ids(spark, d):
 _DOC_SIMS = f"""{embedded_sql()}, dvi AS (SELECT dv.*, entry_index FROM dv JOIN entries USING (user_id, entry_id)),
 sims AS (SELECT a.user_id, a.entry_index AS src, b.entry_index AS dst, round(sum(a.v * b.v), 9) AS sim FROM dvi a JOIN dvi b
   ON a.user_id = b.user_id AND a.slot = b.slot AND a.entry_index <> b.entry_index GROUP BY ALL),
-knn AS (SELECT *, row_number() OVER (PARTITION BY user_id, src ORDER BY sim DESC, dst) AS rank FROM sims QUALIFY rank <= 8),
+knn AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY user_id, src ORDER BY sim DESC, dst) AS rank FROM sims QUALIFY rank <= 8),
 edges AS (SELECT a.user_id, a.src, a.dst, a.sim AS w FROM knn a JOIN knn b ON a.user_id = b.user_id AND a.src = b.dst AND a.dst = b.src
   WHERE a.src < a.dst AND a.sim >= 0.7), {_COMPONENTS},
 comp AS (SELECT user_id, community, count(*) AS size, row_number() OVER (PARTITION BY user_id ORDER BY community) AS cluster_no

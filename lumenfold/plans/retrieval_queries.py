@@ -26,7 +26,7 @@ docs AS (SELECT m.user_id, m.entity_type || ':' || m.entity AS catalyst_id, m.en
   JOIN cvec c ON c.user_id = m.user_id AND c.catalyst_id = m.entity_type || ':' || m.entity AND c.slot = d.slot GROUP BY ALL),
 {_QUERIES_CTE}, {data.slots_sql("qslots", "queries", "query_id", "text", DIM)}, {data.vectors_sql("qv", "qslots", "query_id")},
 rel AS (SELECT q.user_id, query_id, catalyst_id, round(sum(q.v * c.v), 9) AS relevance FROM qv q JOIN cvec c ON q.user_id = c.user_id AND q.slot = c.slot GROUP BY ALL),
-kept AS (SELECT *, row_number() OVER (PARTITION BY user_id, query_id ORDER BY relevance DESC, catalyst_id) AS cr FROM rel WHERE relevance > 0 QUALIFY cr <= 10),
+kept AS (SELECT *, row_number() OVER (PARTITION BY user_id, query_id ORDER BY relevance DESC, catalyst_id) AS cr FROM rel WHERE relevance > 0),
 reach AS (SELECT k.user_id, query_id, entry_id, max(relevance * greatest(assoc, 0.0)) AS similarity FROM kept k JOIN docs d USING (user_id, catalyst_id) GROUP BY ALL),
 results AS (SELECT *, row_number() OVER (PARTITION BY user_id, query_id ORDER BY similarity DESC, entry_id) AS rank FROM reach QUALIFY rank <= 10),
 totals AS (SELECT user_id, query_id, count(*) AS total_results FROM reach GROUP BY ALL),
@@ -35,12 +35,16 @@ contributing AS (SELECT k.user_id, k.query_id, k.catalyst_id, k.relevance, coale
   FROM kept k LEFT JOIN routed USING (user_id, query_id, catalyst_id))"""
 
 
-_BUILT: dict[tuple[str, str], Index] = {}
+_BUILT: dict[tuple, Index] = {}
 
 
 def built_index(spark, d) -> Index:
-    """The stored document index of a data folder, built once per application."""
-    key = (spark.sparkContext.applicationId, d)
+    """The stored document index of a data folder, built once per application and content of its tables."""
+    content = [
+        tuple(data.table(spark, d, name).agg(F.count("*"), F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first())
+        for name in ("documents", "benchmark")
+    ]
+    key = (spark.sparkContext.applicationId, d, *content)
     if key not in _BUILT:
         _BUILT[key] = Index(spark, d)
     return _BUILT[key]
@@ -132,8 +136,10 @@ def catalyze_by_catalyst(spark, d):
 )
 def scope_search(spark, d):
     index = built_index(spark, d)
-    kept_apart = index.catalysts.withColumn("collection_id", F.col("entity"))
-    rows, _ = retrieval.scope_search(index.queries, kept_apart, index.documents, index.entries)
+    twice = F.explode(F.array(F.lit("all"), F.col("catalyst_id"))).alias("collection_id")  # every catalyst in two collections
+    rows, _ = retrieval.scope_search(
+        index.queries, index.catalysts.select("*", twice), index.documents.select("*", twice), index.entries
+    )
     return rows.select(
         "user_id", "query_id", F.col("rank").cast("long").alias("rank"), "primitive", "source_id", "title", "snippet",
         F.coalesce("app_url", F.lit("")).alias("app_url"), F.date_format("created_at", "yyyy-MM-dd").alias("created_at"), "metadata",

@@ -255,7 +255,7 @@ def upsert_patch_delete(spark, d):
 
 @query(
     "chunk_and_hash",
-    rf"""{_ENTRIES}, w AS (SELECT user_id, entry_id, string_split(trim(regexp_replace(content, '\s+', ' ', 'g')), ' ') AS ws FROM entries),
+    rf"""{_ENTRIES}, w AS (SELECT user_id, entry_id, string_split(trim(regexp_replace(title || ' ' || content, '\s+', ' ', 'g')), ' ') AS ws FROM entries),
     c AS (SELECT *, unnest(range(0, greatest(0, ceil((len(ws) - 200) / 160.0))::BIGINT + 1)) AS chunk_no FROM w)
     SELECT user_id, entry_id, chunk_no, sha256(array_to_string(ws[chunk_no * 160 + 1 : chunk_no * 160 + 200], ' ')) AS chunk_hash FROM c""",
 )

@@ -54,3 +54,9 @@ def materialize_counting(df: DataFrame, label: str, condition: Column) -> tuple[
     seen = Observation()
     stored = materialize(df.observe(seen, F.count(F.when(condition, 1)).alias("rows")), label)
     return stored, seen.get["rows"]
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark gives it, so that tasks and readers mean the same place."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(named).toString()

@@ -2,36 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumenfold.session import qualified
+
 COMMENT_FIELDS = [
     "seq", "user_key", "user_id", "recipe_name", "comment", "date",
     "userDisplayName", "userID", "recipeName", "commentBody", "approveDate",
 ]
 COMMENT_SCHEMA = T.StructType([T.StructField(f, T.LongType() if f == "seq" else T.StringType()) for f in COMMENT_FIELDS])
-# A file above this size cannot be one task's work when its format is not splittable.
-MAX_ARCHIVE_BYTES = 2_000_000_000
 
 
 def scan_comments(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """Rows of comment files. Give many files of moderate size: an envelope or a
-    quoted CSV is read by one task each."""
+    """Rows of comment files. Give many files of moderate size: an envelope, a quoted CSV and an archive
+    are read by one task each.
+
+    A row without ``seq`` gets one from its place: files in the order of their names, rows as they stand there.
+    CSV files of one folder share a header; a file with another one fails the job.
+    """
     if fmt == "json":
         envelope = T.StructType([T.StructField("comments", T.ArrayType(COMMENT_SCHEMA))])
         read = spark.read.schema(envelope).option("multiLine", True).json(path)
-        return read.select(F.explode("comments").alias("c")).select("c.*")
+        rows = read.select(F.col("_metadata.file_path").alias("_file"), F.posexplode("comments").alias("_place", "c"))
+        return _with_arrival(rows.select("_file", "_place", "c.*"))
     if fmt == "csv":
         names = spark.read.option("header", True).csv(path).columns
         schema = T.StructType([T.StructField(n, T.LongType() if n == "seq" else T.StringType()) for n in names])
-        reader = spark.read.schema(schema).option("header", True).option("multiLine", True)
-        return reader.option("quote", '"').option("escape", '"').csv(path)
+        reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("multiLine", True)
+        read = reader.option("quote", '"').option("escape", '"').csv(path)
+        placed = read.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_place"))
+        if "seq" not in names:  # ids grow inside a file, which one task reads
+            inside = Window.partitionBy("_file").orderBy("_place")
+            placed = placed.withColumn("_place", F.row_number().over(inside) - 1).withColumn("seq", F.lit(None).cast("long"))
+        return _with_arrival(placed)
     if fmt == "zip":
-        return _scan_zip(spark, path)
+        return _with_arrival(_scan_zip(spark, path))
     raise ValueError("fmt must be json, csv or zip")
 
 
+def _with_arrival(rows: DataFrame) -> DataFrame:
+    """Fill ``seq`` where it is missing; only the list of files is put in order."""
+    files = rows.select("_file").distinct()
+    number = files.withColumn("_number", F.row_number().over(Window.orderBy("_file")) - 1)
+    placed = rows.join(number, "_file")
+    arrival = F.shiftleft(F.col("_number").cast("long"), 36) + F.col("_place")
+    return placed.withColumn("seq", F.coalesce("seq", arrival)).drop("_file", "_place", "_number")
+
+
 def _scan_zip(spark: SparkSession, path: str) -> DataFrame:
     """First CSV member of each archive, streamed in batches by one task per archive."""
 
@@ -41,23 +60,25 @@ def _scan_zip(spark: SparkSession, path: str) -> DataFrame:
         import itertools
         import zipfile
 
-        import pandas as pd
+        import pyarrow as pa
 
+        texts = [f for f in COMMENT_FIELDS if f != "seq"]
         for batch in batches:
-            for content in batch["content"]:
+            for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     member = next(n for n in archive.namelist() if n.endswith(".csv"))
                     with archive.open(member) as raw:
-                        rows = csv.DictReader(io.TextIOWrapper(raw, encoding="utf-8", newline=""))
+                        rows, place = csv.DictReader(io.TextIOWrapper(raw, encoding="utf-8", newline="")), 0
                         while piece := list(itertools.islice(rows, 10_000)):
-                            frame = pd.DataFrame(piece).reindex(columns=COMMENT_FIELDS)
-                            frame["seq"] = pd.to_numeric(frame["seq"]).astype("Int64")
-                            yield frame
+                            numbers = [int(row["seq"]) if row.get("seq") else None for row in piece]
+                            made = [pa.array(numbers, pa.int64()), *(pa.array([row.get(f) for row in piece], pa.string()) for f in texts)]
+                            made += [pa.array([name] * len(piece)), pa.array(range(place, place + len(piece)), pa.int64())]
+                            place += len(piece)
+                            yield pa.record_batch(made, ["seq", *texts, "_file", "_place"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    size_ok = F.when(F.col("length") > MAX_ARCHIVE_BYTES, F.raise_error(F.concat(F.lit("archive too large for one task: "), "path")))
-    checked = files.where(F.coalesce(size_ok.cast("boolean"), F.lit(True)))
-    return checked.select("content").mapInPandas(unzip, COMMENT_SCHEMA)
+    made = T.StructType([*COMMENT_SCHEMA, T.StructField("_file", T.StringType()), T.StructField("_place", T.LongType())])
+    return files.select("path", "content").mapInArrow(unzip, made)
 
 
 def write_json_envelopes(rows: DataFrame, path: str, per_file: int = 50_000) -> None:
@@ -97,7 +118,7 @@ def write_files(files: DataFrame, path: str) -> None:
 
     A file is replaced as a whole, so a task that runs again writes the same.
     """
-    names = files.mapInPandas(_file_writer(path), "name string")
+    names = files.mapInPandas(_file_writer(qualified(files.sparkSession, path)), "name string")
     names.write.format("noop").mode("overwrite").save()
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lumenfold.functions import text as tx
 from lumenfold.schema import SCOPE
+from lumenfold.session import qualified
 from lumenfold.sources.comments import write_files
 
 INDEX_DIR = ".index"
@@ -20,8 +21,8 @@ def scan_markdown_folder(spark: SparkSession, path: str, index_dir: str = INDEX_
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").load(path)
     )
-    root = path.rstrip("/").split("://")[-1]
-    below = F.substring_index("path", root + "/", -1)
+    root = qualified(spark, path).rstrip("/")
+    below = F.col("path").substr(F.lit(len(root) + 2), F.length("path"))
     parts = F.split(below, "/")
     folder = F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/")
     return files.where(~F.array_contains(parts, index_dir)).select(

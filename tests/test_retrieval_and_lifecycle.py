@@ -1,18 +1,22 @@
+import json
+import zipfile
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lumenfold.operators import lifecycle as lc
-from lumenfold.operators import overview, retrieval
+from lumenfold.functions import text as tx
+from lumenfold.operators import overview, retrieval, shape
 from lumenfold.schema import SCOPE
-from lumenfold.sources import markdown, store
+from lumenfold.sources import comments, markdown, store
 
 
 def test_search_equals_brute_force_with_hot_catalyst(spark):
     rng = np.random.default_rng(2)
     unit = lambda n: (lambda m: m / np.linalg.norm(m, axis=1, keepdims=True))(rng.normal(size=(n, 5))).astype(np.float32).astype(float)
-    docs, cats, asks = unit(60), unit(12), unit(4)
-    member = {(c, d) for c in range(12) for d in range(60) if c == 0 or (d + c) % 5 == 0}  # catalyst 0 has every entry
+    docs, cats, asks = unit(60), unit(40), unit(4)
+    member = {(c, d) for c in range(40) for d in range(60) if c == 0 or (d + c) % 5 == 0}  # catalyst 0 has every entry
     assoc = np.round(cats @ docs.T, 9)
     vec = "array<float>"
     rows = lambda m, p: [("a", "u", f"{p}{i:02d}", [float(x) for x in r]) for i, r in enumerate(m)]
@@ -24,7 +28,8 @@ def test_search_equals_brute_force_with_hot_catalyst(spark):
     totals = {r.query_id: r.total_results for r in found.totals.collect()}
     for q in range(4):
         rel = np.round(cats @ asks[q], 9)
-        kept = [c for c in sorted(range(12), key=lambda c: (-rel[c], c)) if rel[c] > 0][:10]
+        kept = [c for c in sorted(range(40), key=lambda c: (-rel[c], c)) if rel[c] > 0]
+        assert len(kept) > 10
         best = {}
         for c, d in member:
             if c in kept:
@@ -100,7 +105,7 @@ def test_ingest_checks_titles_and_keeps_the_latest(spark, tmp_path):
     store.ingest_batch(make([("1", 2, "t", "new")]), path, 1)
     store.ingest_batch(make([("1", 2, "t", "new")]), path, 1)  # a batch that runs again
     assert {r.entry_id: r.content for r in store.read_entries(spark, path).collect()} == {"1": "new", "2": "two"}
-    assert {r.chunk for r in store.read_chunks(spark, path).collect()} == {"new", "two"}
+    assert {r.chunk for r in store.read_chunks(spark, path).collect()} == {"t new", "t two"}
     with pytest.raises(Exception, match="needs a title"):
         store.ingest_batch(make([("3", 3, None, "x")]), path, 2)
 
@@ -115,3 +120,64 @@ def test_overview_trend_and_text(spark):
     assert rows["up"].total_entities == 4 and rows["up"].days_since_last_seen == 1
     text = overview.render_overview_context(overview.entity_overview(mentions, entries, catalysts, "2024-12-31")).first().context
     assert "Tracking 4 entities" in text and "  - q4" in text and "q5" not in text and "  - \n" not in text
+
+
+def test_comments_without_numbers_keep_their_order(spark, tmp_path):
+    (tmp_path / "json").mkdir()
+    for name, words in (("b.json", ["three", "four"]), ("a.json", ["one", "two"])):
+        rows = [{"userID": "7", "recipeName": "r", "commentBody": w * 20, "approveDate": "1700000000"} for w in words]
+        (tmp_path / "json" / name).write_text(json.dumps({"comments": rows}))
+    (tmp_path / "csv").mkdir()
+    for name, words in (("b.csv", ["three", "four"]), ("a.csv", ["one", "two"])):
+        (tmp_path / "csv" / name).write_text("user_id,recipe_name,comment\n" + "".join(f'7,r,"{w * 20}"\n' for w in words))
+    (tmp_path / "zip").mkdir()
+    for name in ("a", "b"):
+        with zipfile.ZipFile(tmp_path / "zip" / f"{name}.zip", "w") as archive:
+            archive.write(tmp_path / "csv" / f"{name}.csv", "comments.csv")
+    for kind in ("json", "csv", "zip"):
+        rows = shape.normalize_rows(comments.scan_comments(spark, str(tmp_path / kind), kind), "2024-01-01")
+        notes = shape.group_entries(rows).first().notes.split("\n\n")
+        assert notes == ["one" * 20, "two" * 20, "three" * 20, "four" * 20], kind
+
+
+def test_a_csv_with_other_columns_fails(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("seq,user_id\n1,7\n")
+    (tmp_path / "b.csv").write_text("user_id,seq\n7,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        comments.scan_comments(spark, str(tmp_path), "csv").collect()
+
+
+def test_a_folder_named_like_its_root(spark, tmp_path):
+    root = tmp_path / "R"
+    for name in ("x/R/y.md", "top.md", ".index/z.md"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text("t")
+    got = {(r.folder, r.filename) for r in markdown.scan_markdown_folder(spark, str(root)).collect()}
+    assert {f for f, _ in got} == {"x/R", None}
+
+
+def test_stored_entries_keep_their_fields(spark, tmp_path):
+    entries = spark.createDataFrame(
+        [("a", "u", "e", 0, "t", "c", "n1 n2", "note", "s1", ["k"])],
+        "app_id string, user_id string, entry_id string, seq long, title string, content string, notes string, primitive string, source_id string, keywords array<string>",
+    )
+    store.ingest_batch(entries, str(tmp_path), 0)
+    row = store.read_entries(spark, str(tmp_path)).first()
+    assert (row.primitive, row.source_id, row.keywords) == ("note", "s1", ["k"])
+    assert [r.chunk for r in store.read_chunks(spark, str(tmp_path)).collect()] == ["t c n1 n2"]
+
+
+def test_one_catalyst_in_two_collections_counts_once(spark):
+    key = "app_id string, user_id string, "
+    queries = spark.createDataFrame([("a", "u", "q", [1.0, 0.0])], key + "query_id string, vector array<float>")
+    catalysts = spark.createDataFrame([("a", "u", "c", "e", "t", k, [1.0, 0.0]) for k in ("x", "y")], key + "catalyst_id string, entity string, text string, collection_id string, vector array<float>")
+    documents = spark.createDataFrame([("a", "u", "c", "d", 0, 0.5, k) for k in ("x", "y")], key + "catalyst_id string, entry_id string, entry_index long, assoc double, collection_id string")
+    entries = spark.createDataFrame([("a", "u", "d", "title", None)], key + "entry_id string, title string, created_at timestamp")
+    rows, found = retrieval.scope_search(queries, catalysts, documents, entries)
+    assert rows.count() == 1 and [r.contribution_count for r in found.catalysts.collect()] == [1]
+
+
+def test_numbers_are_rounded_as_their_binary_value(spark):
+    df = spark.createDataFrame([(0.25, 0.125, 0.345), (None, 1.0, 2.0)], "a double, b double, c double")
+    got = [tuple(r) for r in df.select(tx.fixed(F.col("a"), 1), tx.fixed(F.col("b"), 2), tx.fixed(F.col("c"), 2)).collect()]
+    assert got == [("0.2", "0.12", "0.34"), (None, "1.00", "2.00")]

@@ -35,15 +35,38 @@ def test_rows_and_entries(spark):
     assert json.loads(entries["black-rice"].metadata)["user_key"] == "ann"
 
 
-def test_a_hot_recipe_is_continued_in_parts(spark):
+def test_a_recipe_with_sparse_numbers_is_one_entry(spark):
     rows = spark.range(1000).select(
-        F.col("id").alias("seq"), F.lit("k").alias("user_key"), F.lit("1").alias("user_id"), F.lit("hot").alias("recipe_name"),
+        (F.col("id") * 1_000_003).alias("seq"), F.lit("k").alias("user_key"), F.lit("1").alias("user_id"), F.lit("hot").alias("recipe_name"),
         F.concat(F.rpad(F.lit("c"), 60, "c"), "id").alias("comment"), F.lit("2024-01-01").alias("date"),
     )
-    whole = shape.group_entries(rows).collect()
-    parts = sorted(shape.group_entries(rows, part_rows=300).collect(), key=lambda r: r.part)
-    assert len(whole) == 1 and len(parts) == 4
-    assert "\n\n".join(p.notes for p in parts) == whole[0].notes
+    entries = shape.group_entries(rows)
+    one = entries.collect()
+    assert len(one) == 1 and [n[60:] for n in one[0].notes.split("\n\n")] == [str(k) for k in range(1000)]
+    assert shape.derive_observations(entries).select("id").distinct().count() == 1
+
+
+def test_numbering_loses_no_row(spark):
+    rows = [("a", "u", 5), ("a", "u", None), (None, "u", 1), ("a", "u", 5), ("a", "u", 10**12), (None, "u", None)]
+    df = spark.createDataFrame(rows, "app_id string, user_id string, seq long").withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    got = sorted((r.app_id or "", r.entry_index) for r in shape.resolve_entry_id(df).collect())
+    assert got == [("", 0), ("", 1), ("a", 0), ("a", 1), ("a", 2), ("a", 3)]
+
+
+def test_naive_times_are_utc(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        same = ["2026-04-25T14:30:00+00:00", "2026-04-25T14:30", "2026-04-25 14:30:00", "1777127400000"]
+        df = spark.createDataFrame([(s,) for s in [*same, "2026-04-25"]], "s string")
+        got = [r[0] for r in df.select(F.unix_timestamp(shape.created_at(F.col("s")))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [1777127400] * 4 + [1777075200]
+
+
+def test_a_scalar_tag(spark):
+    df = spark.createDataFrame([("x",), ("",), (None,)], "t string")
+    assert [r[0] for r in df.select(shape.clean_tags(F.col("t"), "scalar")).collect()] == [["x"], [], []]
 
 
 def test_observation_rules(spark):
