@@ -229,8 +229,9 @@ def entity_overview_by_query(spark, d):
     "index_status",
     f"""WITH {_ENTRY_MENTIONS}, e AS (SELECT user_id, count(DISTINCT entity_type || ':' || entity) AS entities,
       count(DISTINCT CASE WHEN entity_type <> 'link' THEN entity_type || ':' || entity END) AS catalysts FROM mentions GROUP BY ALL)
-    SELECT user_id, count(*) AS documents, count(*) FILTER (n_chars > 1000) || '/' || count(*) AS embedded, max(entities) AS entities, max(catalysts) AS catalysts, 'given' AS model
-    FROM entries JOIN e USING (user_id) GROUP BY user_id""",
+    SELECT user_id, count(*) AS documents, count(vec_id) || '/' || count(*) AS embedded, max(entities) AS entities, max(catalysts) AS catalysts,
+      CASE WHEN count(vec_id) > 0 THEN 'given' ELSE '' END AS model
+    FROM entries JOIN e USING (user_id) LEFT JOIN embeddings ON vec_id = seq GROUP BY user_id""",
 )
 def index_status(spark, d):
     entries, mentions, catalysts, vectors = counted_inputs(spark, d)

@@ -267,7 +267,7 @@ def activity_counts(spark, d):
 COUNTS_SQL = f"""{data.ENTRIES_SQL}, {data.MENTIONS_SQL},
   homes AS (SELECT user_id, entry_id, unnest(collections) AS c FROM entries),
   ents AS (SELECT DISTINCT user_id, entry_id, entity_type || ':' || entity AS e FROM mentions),
-  vecs AS (SELECT user_id, entry_id FROM entries WHERE n_chars > 1000),
+  vecs AS (SELECT user_id, entry_id FROM entries JOIN embeddings ON vec_id = seq),
   counts AS (
   SELECT user_id, c AS collection_id, count(DISTINCT entry_id) AS docs, count(DISTINCT e) AS entities,
     count(DISTINCT CASE WHEN e NOT LIKE 'link:%' THEN e END) AS catalysts, count(DISTINCT v) AS embeddings
@@ -280,14 +280,15 @@ COUNTS_SQL = f"""{data.ENTRIES_SQL}, {data.MENTIONS_SQL},
 
 
 def counted_inputs(spark, d):
-    """Entries, mentions, catalysts of tags and folders, and vectors of the longer documents."""
+    """Entries, mentions, catalysts of tags and folders, and the given vectors of the documents of their number."""
     entries = data.entries(spark, d)
     mentions = en.extract_entities(entries)
     owned = mentions.where("entity_type <> 'link'").select("app_id", "user_id", "entity_type", "entity").distinct()
     catalysts = owned.withColumn("catalyst_id", F.concat_ws(":", "entity_type", "entity"))
-    vectors = entries.where(F.get_json_object("metadata", "$.n_chars").cast("long") > 1000).select(
-        "app_id", "user_id", "entry_id", F.lit("given").alias("model"), F.array(F.lit(1.0)).alias("vector")
+    given = data.vectors(spark, d).select(
+        F.lit("notes").alias("app_id"), "user_id", F.concat(F.lit("doc-"), "seq").alias("entry_id"), "model", "vector"
     )
+    vectors = given.join(entries.select("app_id", "user_id", "entry_id"), ["app_id", "user_id", "entry_id"], "left_semi")
     return entries, mentions, catalysts, vectors
 
 
