@@ -254,6 +254,8 @@ def keep_representatives(docs: DataFrame, words: int = 5, percent: int = 80) ->
 
     Rows with a null doc_id stay, and so do all rows that repeat the smallest id.
     """
-    found = jaccard_components(docs, words, percent).where("doc_id = component_id OR doc_id IS NULL")
-    ids = found.where("doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.where("doc_id IS NULL").unionByName(docs.join(ids, "doc_id", "left_semi"))
+    found = jaccard_components(docs, words, percent).where("doc_id IS NOT NULL")
+    first = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"))
+    # The few that go are sent to the texts, not the texts to them.
+    gone, count = materialize_counting(first.where("NOT first").select("doc_id"), "near-duplicates", F.lit(True))
+    return docs.join(F.broadcast(gone) if count <= BROADCAST_ROWS else gone, "doc_id", "left_anti")

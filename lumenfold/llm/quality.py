@@ -115,15 +115,20 @@ def estimate(patterns: list[tuple[tuple[int | None, ...], int]], width: int, rou
     return prior, adds
 
 
-def judged(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def judged(docs: DataFrame, text: str = "text", keep: list[str] | None = None, stored: bool = True) -> DataFrame:
     """The ``keep`` columns of ``docs`` (all by default) with q, base_failed, p_good (the posterior) and kept.
 
     Kept are texts that pass the base rule (10 words, at most a fifth of them in repeated windows) and are good
     with probability one half at least. Null and empty texts fail. Rows are judged one by one, so repeats agree;
     columns named like the new ones are replaced.
+
+    Counting the votes and giving the verdicts both need the measures. ``stored`` keeps them in the shared folder
+    with the ``keep`` columns; without it the texts are measured twice and nothing is written.
     """
     votes = rules()
-    found = materialize(measured(docs, text, keep), "measured")  # both the counts of votes and the verdicts need it
+    found = measured(docs, text, keep)
+    if stored:
+        found = materialize(found, "measured")
     patterns = found.groupBy(*[vote.alias(name) for name, vote in votes.items()]).agg(F.count("*").alias("_rows")).collect()
     prior, adds = estimate(sorted(((tuple(r)[:-1], r["_rows"]) for r in patterns), key=str), len(votes))
     odds = F.lit(prior)
