@@ -14,7 +14,7 @@ from lumenfold.session import materialize
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the weighed rules find good; null and empty texts go."""
-    return quality.judged(docs).where("kept").select(*docs.columns)
+    return quality.judged(docs, stored=False).where("kept").select(*docs.columns)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
