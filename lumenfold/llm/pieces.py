@@ -24,7 +24,7 @@ from lumenfold.llm.batches import small_batches
 SPACE = "▁"
 _UNKNOWN_COST = 10.0
 #: Words whose ids a task remembers before it starts anew (a text may add as many again).
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 _LONGEST_REMEMBERED = 48
 #: No piece has this mark after another character, so a new search can start before a run of marks.
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
@@ -54,6 +54,7 @@ class Pieces:
         self.longest = max(map(len, self.scores))
         #: Score and id of a piece, None for what only begins one.
         self.table = dict.fromkeys((p[:k] for p in self.scores for k in range(1, len(p))), None) | self.scores
+        self.lines = not any("\n" in p for p in self.scores)
         self.unknown = min(s for s, _ in self.scores.values()) - _UNKNOWN_COST
         self.written = [b"" if i in special else bytes([self.byte_of[i]]) if i in self.byte_of else p.encode() for i, p in enumerate(self.names)]
 
@@ -143,10 +144,19 @@ class Pieces:
         """The ids of a text, unit by unit; ``known`` remembers the ids of short ones as packed numbers."""
         if not text:
             return np.empty(0, np.int32)
-        if text[0] == " " or "  " in text or SPACE in text:
-            units = _UNIT.findall((SPACE + text).replace(" ", SPACE))
-        else:
-            units = [SPACE + word for word in text.split(" ")]
+        units: list[str] = []
+        # A character that no piece holds is a unit of its own, so a search can start anew at every line.
+        for nth, line in enumerate(text.split("\n") if self.lines else (text,)):
+            if nth:
+                units.append("\n")
+            if not line and nth:
+                continue
+            if line[:1] == " " or "  " in line or SPACE in line:
+                units += _UNIT.findall(("" if nth else SPACE) + line.replace(" ", SPACE))
+            else:
+                first, *words = line.split(" ")
+                units.append(first if nth else SPACE + first)
+                units += [SPACE + word for word in words]
         packed = list(map(known.get, units))
         if None in packed:
             if len(known) >= REMEMBERED:
