@@ -5,15 +5,18 @@ sums the search keeps the path that came first, which starts farther back. (For
 ranks of merges; the best sum need not be what replaying the merges gives.) Spaces become U+2581 and one is put in
 front. A character without a piece is written as its bytes and costs more than any piece.
 
-The search keeps a window of the last positions, no longer than the longest piece, and commits ids as soon as all
-paths that can still grow go through one boundary. Memory is bounded for texts of any length.
+The search reads a stream. It keeps the positions since its last commit and reads ahead by at most two lengths of the
+longest piece; at least once in such a length it commits the ids up to where all paths that can still grow meet. Every
+path passes the starts of words and lines, so a stretch between two of them that a task has met before is not searched
+again: what the search gave is remembered. A text is fed in bounded parts; beside them only the text itself and its
+packed ids are held, which are one row.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,10 @@ REMEMBERED = 400_000
 _LONGEST_REMEMBERED = 48
 #: No piece has this mark after another character, so a new search can start before a run of marks.
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+_CUT_IN_LINE = re.compile(f"(?<![ {SPACE}])[ {SPACE}]")
+_CUT = re.compile(f"{_CUT_IN_LINE.pattern}|\n")
+#: Characters of a text, up to the next cut, that are fed at a time.
+_AT_A_TIME = 1 << 15
 
 
 def read_model(path: str) -> bytes:
@@ -58,118 +65,116 @@ class Pieces:
         self.unknown = min(s for s, _ in self.scores.values()) - _UNKNOWN_COST
         self.written = [b"" if i in special else bytes([self.byte_of[i]]) if i in self.byte_of else p.encode() for i, p in enumerate(self.names)]
 
-    def _extend(self, window: str, at: int, end: int, so_far: float, best: dict[int, tuple[float, int, int | None]], first: int) -> None:
-        """Tries all pieces that start at a position of the stream; the window starts at ``first``."""
-        look, start, single = self.table.get, at - first, False
-        for k in range(start + 1, min(end - first, start + self.longest) + 1):
-            found = look(window[start:k], 0)
-            if found == 0:
-                break
-            if found:
-                single = single or k == start + 1
-                total, old = so_far + found[0], best.get(first + k)
-                if old is None or total > old[0]:
-                    best[first + k] = (total, at, found[1])
-        if not single:
-            total, old = so_far + self.unknown, best.get(at + 1)
-            if old is None or total > old[0]:
-                best[at + 1] = (total, at, None)
-
-    def search(self, characters: Iterable[str]) -> Iterator[int]:
-        """Ids of a stream of characters, given out as soon as they are certain."""
-        stream = iter(characters)
-        window, first, end, position = "", 0, 0, 0  # the window starts at `first`: what is committed is gone
-        best: dict[int, tuple[float, int, int | None]] = {0: (0.0, 0, None)}  # position: sum, start of last piece, its id
+    def search(self, parts: Iterable[str]) -> Iterator[int]:
+        """Ids of a stream of characters or longer parts, given out as soon as they are certain."""
+        for ids in self._commits(parts):
+            yield from ids
+
+    def _commits(self, parts: Iterable[str]) -> Iterator[list[int]]:
+        """The search: ids by commit."""
+        parts = (part[k : k + self.longest] for part in parts for k in range(0, len(part), self.longest))
+        look, longest, single, unknown = self.table.get, self.longest, self.scores, self.unknown
+        window, position, ended = "", 0, False  # the window starts at the last commit
+        best: list[tuple[float, int, int | None] | None] = [(0.0, 0, None)]  # by position: sum, length of last piece, its id
         while True:
-            more = "".join(islice(stream, position + self.longest - end))
-            window, end = window + more, end + len(more)
-            if position == end:
+            while not ended and len(window) < position + 2 * longest:
+                part = next(parts, None)
+                if part is None:
+                    ended = True
+                else:
+                    window += part
+                    best += [None] * len(part)
+            size = len(window)
+            if position == size:
                 break
-            self._extend(window, position, end, best[position][0], best, first)
-            position += 1
+            # Pieces that start before `stop` lie in the window.
+            stop = min(position + longest, size if ended else size - longest + 1)
+            for at in range(position, stop):
+                so_far = best[at][0]
+                for k in range(at + 1, size + 1):
+                    found = look(window[at:k], 0)  # nothing begins with what is longer than the longest piece
+                    if found:
+                        total, old = so_far + found[0], best[k]
+                        if old is None or total > old[0]:
+                            best[k] = (total, k - at, found[1])
+                    elif found is not None:
+                        break
+                if window[at] not in single:
+                    total, old = so_far + unknown, best[at + 1]
+                    if old is None or total > old[0]:
+                        best[at + 1] = (total, 1, None)
+            position = stop
             # Paths that can still grow end at `position` or later; they meet where their ways back do.
-            meet = self._meeting(best, position, first)
-            if meet > first:
-                yield from self._ids(best, window, first, meet)
-                best = {p: found for p, found in best.items() if p >= meet}
-                window, first = window[meet - first :], meet
-        yield from self._ids(best, window, first, end)
+            meet = position if position == size else self._meeting(best, position)
+            if meet == size and ended:
+                yield self._ids(best, window, meet)
+                break
+            if meet:
+                yield self._ids(best, window, meet)
+                window, best, position = window[meet:], best[meet:], position - meet
 
     @staticmethod
-    def _meeting(best: dict[int, tuple[float, int, int | None]], position: int, first: int) -> int:
-        open_ends = {p for p in best if p >= position}
+    def _meeting(best: list[tuple[float, int, int | None] | None], position: int) -> int:
+        open_ends = {p for p in range(position, len(best)) if best[p]}
         while len(open_ends) > 1:
             last = max(open_ends)
             open_ends.remove(last)
-            open_ends.add(max(best[last][1], first))
-        return min(open_ends.pop(), position)
+            open_ends.add(last - best[last][1])
+        return open_ends.pop()
 
-    def _ids(self, best, window: str, first: int, end: int) -> list[int]:
+    def _ids(self, best, window: str, end: int) -> list[int]:
         found: list[int] = []
         at = end
-        while at > first:
-            _, start, piece = best[at]
+        while at:
+            _, length, piece = best[at]
             if piece is None:
-                found.extend(reversed([self.bytes[b] for b in window[start - first : at - first].encode()]))
+                found.extend(reversed([self.bytes[b] for b in window[at - length : at].encode()]))
             else:
                 found.append(piece)
-            at = start
+            at -= length
         return found[::-1]
 
-    def _unit(self, unit: str) -> list[int]:
-        """A unit no longer than the window is searched without commits."""
-        if len(unit) > _LONGEST_REMEMBERED:
-            return list(self.search(unit))
-        look, size = self.table.get, len(unit)
-        best: list[tuple[float, int, int | None] | None] = [(0.0, 0, None), *[None] * size]
-        for at in range(size):
-            so_far, single = best[at][0], False
-            for k in range(at + 1, size + 1):
-                found = look(unit[at:k], 0)
-                if found is None:
+    def _stretches(self, text: str) -> Iterator[list[str]]:
+        """The text between places that every path passes, so a search can start anew there; some thousand at a time."""
+        at, cut = 0, _CUT if self.lines else _CUT_IN_LINE
+        while at < len(text):
+            place = cut.search(text, at + _AT_A_TIME)
+            end = place.start() if place else len(text)
+            found: list[str] = []
+            # A character that no piece holds is a stretch of its own, so there is one at every line.
+            for nth, line in enumerate(text[at:end].split("\n") if self.lines else (text[at:end],)):
+                if nth:
+                    found.append("\n")
+                front = SPACE if not nth and not at else ""
+                if not line and not front:
                     continue
-                if not found:
-                    break
-                single = single or k == at + 1
-                total, old = so_far + found[0], best[k]
-                if old is None or total > old[0]:
-                    best[k] = (total, at, found[1])
-            if not single:
-                total, old = so_far + self.unknown, best[at + 1]
-                if old is None or total > old[0]:
-                    best[at + 1] = (total, at, None)
-        return self._ids(best, unit, 0, size)
+                if line[:1] == " " or "  " in line or SPACE in line:
+                    found += _UNIT.findall(front + line.replace(" ", SPACE))
+                else:
+                    first, *words = line.split(" ")
+                    found.append(front + first)
+                    found += [SPACE + word for word in words]
+            yield found
+            at = end
 
     def encode(self, text: str, known: dict[str, bytes]) -> np.ndarray:
-        """The ids of a text, unit by unit; ``known`` remembers the ids of short ones as packed numbers."""
-        if not text:
-            return np.empty(0, np.int32)
-        units: list[str] = []
-        # A character that no piece holds is a unit of its own, so a search can start anew at every line.
-        for nth, line in enumerate(text.split("\n") if self.lines else (text,)):
-            if nth:
-                units.append("\n")
-            if not line and nth:
-                continue
-            if line[:1] == " " or "  " in line or SPACE in line:
-                units += _UNIT.findall(("" if nth else SPACE) + line.replace(" ", SPACE))
-            else:
-                first, *words = line.split(" ")
-                units.append(first if nth else SPACE + first)
-                units += [SPACE + word for word in words]
-        packed = list(map(known.get, units))
-        if None in packed:
-            if len(known) >= REMEMBERED:
-                known.clear()
-            for at, ids in enumerate(packed):
-                if ids is None:
-                    unit = units[at]
-                    ids = known.get(unit)
+        """The ids of a text. ``known`` remembers, as packed numbers, what the search gave for short stretches."""
+        packed: list[bytes] = []
+        for stretches in self._stretches(text):
+            found = list(map(known.get, stretches))
+            if None in found:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                for at, ids in enumerate(found):
                     if ids is None:
-                        ids = np.array(self._unit(unit), np.int32).tobytes()
-                        if len(unit) <= _LONGEST_REMEMBERED and len(known) < 2 * REMEMBERED:
-                            known[unit] = ids
-                    packed[at] = ids
+                        stretch = stretches[at]
+                        ids = known.get(stretch)
+                        if ids is None:
+                            ids = b"".join(array("i", ids).tobytes() for ids in self._commits((stretch,)))
+                            if len(stretch) <= _LONGEST_REMEMBERED and len(known) < 2 * REMEMBERED:
+                                known[stretch] = ids
+                        found[at] = ids
+            packed.append(b"".join(found))
         return np.frombuffer(b"".join(packed), np.int32)
 
     def decode(self, ids: Iterable[int]) -> str:

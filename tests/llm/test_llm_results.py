@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 
 import duckdb
 import pytest
@@ -149,6 +150,31 @@ def test_pieces_window_is_bounded():
     assert len(ahead) and max(ahead[k] - ahead[k - 1] for k in range(1, len(ahead))) <= 4 * model.longest
 
 
+def test_every_stretch_comes_from_the_stream(documents, monkeypatch):
+    """Short words too; parts of any length and texts longer than what is fed at a time give the same ids."""
+    model, searched = pieces.Pieces(pieces.read_model(queries.PIECES)), []
+    stream = pieces.Pieces._commits
+    monkeypatch.setattr(pieces.Pieces, "_commits", lambda self, parts: stream(self, (searched.append(p) or p for p in parts)))
+    model.encode("one two  two\nthree one two", known := {})
+    assert "".join(searched) == "▁one▁two▁▁two\nthree" and set(known) == {"▁one", "▁two", "▁▁two", "\n", "three"}
+    generate = random.Random(8)
+    monkeypatch.setattr(pieces, "_AT_A_TIME", 20)
+    for text in [t[:600] for t in list(documents.values())[:2]] + ["".join(generate.choice(["a", "an", "▁", " ", "  ", "\n", "é", "z" * 50]) for _ in range(120)) for _ in range(60)]:
+        unit = (pieces.SPACE + text).replace(" ", pieces.SPACE)
+        parts = [unit[k : k + 37] for k in range(0, len(unit), 37)]
+        assert model.encode(text, {}).tolist() == plain_search(model, unit) == list(model.search(parts))
+
+
+def test_long_texts_are_fed_in_bounded_parts():
+    model, text = pieces.Pieces(pieces.read_model(queries.PIECES)), "some words of text " * 100_000
+    model.encode(text, known := {})
+    tracemalloc.start()
+    ids = model.encode(text, known)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ids) >= 400_000 and most < 3 * ids.nbytes + 2_000_000
+
+
 def test_flow_moves_the_fewest_bytes():
     generate = random.Random(1)
     for _ in range(30):
