@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,9 @@ FIT_ROWS = 20_000
 STEMS = (4, 5, 6, 7)
 #: Least number of toxic texts that hold a term, and its least weight (log of the ratio of its shares).
 _LEAST_TEXTS, _LEAST_WEIGHT = 4, 3.0
-_MOST_TERMS = 2000
+# Multipliers of the hashes by which copies of a text are known, and how many of them look for one.
+_FACTORS = np.random.default_rng(1).integers(0, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
+_BAND = 4
 #: Words that count without a labelled text, with the weight they start from.
 SEEDS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "pathetic", "worthless", "disgusting", "clown", "filth", "vermin", "imbecile")
 _SEED_WEIGHT = 3.0
@@ -121,66 +124,85 @@ def _terms(text: str) -> set[str]:
     return found
 
 
+def _signature(text: str) -> np.ndarray:
+    """Least values of some hashes over a folded text's pairs of words; two texts agree in as many as they share pairs."""
+    words = text.split()
+    pairs = {f"{a} {b}" for a, b in zip(words, words[1:], strict=False)} or {text}
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(p) for p in pairs), np.uint64, len(pairs))
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 1024):
+        np.minimum(least, (hashes[at : at + 1024, None] * _FACTORS).min(0), out=least)
+    return least
+
+
+def copy_groups(signs: list[np.ndarray]) -> list[int]:
+    """The group of each signature's text, named by its first: texts tied to one another by sharing most pairs of words."""
+    root = list(range(len(signs)))
+
+    def top(a: int) -> int:
+        while root[a] != a:
+            root[a] = a = root[root[a]]
+        return a
+
+    first: dict[tuple[int, bytes], int] = {}
+    for nth, sign in enumerate(signs):
+        for band in range(0, len(sign), _BAND):
+            met = first.setdefault((band, sign[band : band + _BAND].tobytes()), nth)
+            if met != nth and 2 * int((signs[met] == sign).sum()) >= len(sign):
+                root[max(top(met), top(nth))] = min(top(met), top(nth))
+    return [top(a) for a in range(len(signs))]
+
+
 def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, text: str = "text", id: str = "doc_id", label: str = "toxic") -> Lexicon:
     """A lexicon from at most ``rows`` labelled texts.
 
-    It starts from a few common words, which labels can weigh anew or drop. Terms are taken one by one, each time the one that most toxic texts hold of those without a term yet, so words
-    that copies of a toxic text share by chance do not enter. Labels other than 0 and 1 do not count.
+    It holds a few common words, which labels can weigh anew or drop, and every term that enough toxic texts hold and
+    that weighs enough. Copies of a text, edited ones too, count as one text, so words that they share by chance do
+    not enter. Labels other than 0 and 1 do not count.
     """
     small_batches(docs.sparkSession)
     chosen = labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull()).groupBy(F.col(id).alias("id")).agg(F.max(label).alias("label"))
     chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(rows)
-    sample = docs.join(F.broadcast(chosen), docs[id] == chosen["id"]).select("label", F.col(text).alias("text"))
+    sample = docs.join(F.broadcast(chosen), docs[id] == chosen["id"]).select(F.col("label").cast("int").alias("label"), F.col(text).alias("text"))
+    sample = sample.withColumn("key", F.xxhash64(F.coalesce("text", F.lit(""))))
     sample = materialize(sample.repartition(16), "toxic-sample")
 
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            signs = [_signature(folded(v)).tobytes() for v in batch.column(1).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array(signs, pa.binary())], ["key", "sign"])
+
+    signs = sample.select("key", "text").mapInArrow(signed, "key bigint, sign binary").dropDuplicates(["key"]).orderBy("key").collect()
+    groups = copy_groups([np.frombuffer(r["sign"], np.uint64) for r in signs])
+    named = pa.table({"key": pa.array([r["key"] for r in signs], pa.int64()), "group": pa.array(groups, pa.int64())})
+    sample = sample.join(F.broadcast(docs.sparkSession.createDataFrame(named)), "key")
+    sizes = sample.groupBy("group").agg(F.count("*").alias("rows"), F.max("label").alias("bad"), F.max(1 - F.col("label")).alias("good"))
+    sizes = [tuple(r) for r in sizes.collect()]
+    bad, good = sum(r[2] for r in sizes), sum(r[3] for r in sizes)
+    if not bad:
+        return Lexicon({}, [])
+    several = docs.sparkSession.createDataFrame([(r[0], True) for r in sizes if r[1] > 1], "group bigint, several boolean")
+    sample = sample.join(F.broadcast(several), "group", "left")
+    alone = F.col("several").isNull()
+
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for mark, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for mark, group, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = list(_terms(folded(value)))
-                yield pa.record_batch([pa.array([mark] * len(found), pa.int32()), pa.array(found, pa.string())], ["label", "term"])
+                columns = [pa.array([mark] * len(found), pa.int32()), pa.array([group] * len(found), pa.int64()), pa.array(found, pa.string())]
+                yield pa.record_batch(columns, ["label", "group", "term"])
 
-    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    bad, good = sizes.get(1, 0), sizes.get(0, 0)
-    if not bad:
-        return Lexicon({}, [])
-    seen = sample.select(F.col("label").cast("int"), "text").mapInArrow(terms, "label int, term string")
-    counts = seen.groupBy("term").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good")).where(f"bad >= {_LEAST_TEXTS}")
+    seen = lambda part: part.select("label", "group", "text").mapInArrow(terms, "label int, group bigint, term string")
+    # Where a text is its group, nothing has to be told apart.
+    once = seen(sample.where(alone)).unionByName(seen(sample.where(~alone)).distinct())
+    counts = once.groupBy("term").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"))
     weight = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
-    counts = counts.withColumn("weight", weight).where(f"weight >= {_LEAST_WEIGHT}").orderBy(F.desc("bad"), "term").limit(_MOST_TERMS)
-    weights = {r["term"]: r["weight"] for r in counts.collect()}
     seeds = [folded(w) for w in SEEDS]
-    known = seen.where(F.col("term").isin(seeds)).groupBy("term").agg(F.sum("label").alias("bad"), F.count("*").alias("rows")).collect()
-    shares = {r["term"]: math.log((r["bad"] + 0.5) / (bad + 1)) - math.log((r["rows"] - r["bad"] + 0.5) / (good + 1)) for r in known if r["rows"] >= _LEAST_TEXTS}
-    start = {t: w for t in seeds if (w := shares.get(t, _SEED_WEIGHT)) > 1}
-
-    def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Lexicon(weights | start, []).automaton()
-        for batch in batches:
-            for value in batch.column(0).to_pylist():
-                text = folded(value)
-                terms = {text[end - length + 1 : end + 1] for end, (length, _) in automaton.iter(text)} if len(automaton) else set()
-                yield pa.record_batch([pa.array([sorted(terms)], pa.list_(pa.string()))], ["terms"])
-
-    texts = sample.where("label = 1").select("text").mapInArrow(covered, "terms array<string>").collect()
-    return _calibrated(sample, Lexicon(start | _cover([r["terms"] for r in texts], weights, start), []))
-
-
-def _cover(texts: list[list[str]], weights: dict[str, float], start: dict[str, float]) -> dict[str, float]:
-    """Terms that cover the texts (lists of the terms each holds) which no term of ``start`` covers."""
-    holders: dict[str, set[int]] = {}
-    for at, terms in enumerate(texts):
-        if not any(t in start for t in terms):
-            for term in terms:
-                holders.setdefault(term, set()).add(at)
-    taken: dict[str, float] = {}
-    while holders:
-        term = max(holders, key=lambda t: (len(holders[t]), weights[t], t))
-        covered = holders.pop(term)
-        if len(covered) < _LEAST_TEXTS:
-            break
-        taken[term] = weights[term]
-        holders = {t: left for t, held_by in holders.items() if (left := held_by - covered)}
-    return taken
+    counts = counts.withColumn("weight", weight).where((F.col("bad") >= _LEAST_TEXTS) & (F.col("weight") >= _LEAST_WEIGHT) | F.col("term").isin(seeds))
+    counts = {r["term"]: r for r in counts.collect()}
+    start = {t: counts[t]["weight"] if t in counts and counts[t]["bad"] + counts[t]["good"] >= _LEAST_TEXTS else _SEED_WEIGHT for t in seeds}
+    kept = {t: r["weight"] for t, r in sorted(counts.items()) if t not in start}
+    return _calibrated(sample.select("label", "text"), Lexicon({t: w for t, w in start.items() if w > 1} | kept, []))
 
 
 def _calibrated(sample: DataFrame, lexicon: Lexicon) -> Lexicon:
@@ -195,12 +217,13 @@ def _calibrated(sample: DataFrame, lexicon: Lexicon) -> Lexicon:
                 if not len(automaton) or not any(True for _ in automaton.iter(text)):
                     continue
                 words = text.split()
-                near = {f" {a} {b} " for a, b in zip(words, words[1:], strict=False) if any(f" {w} ".startswith(t) for w in (a, b) for t in terms)}
+                held_by = {w for w in set(words) if f" {w} " in terms or any(f" {w[:k]}" in terms for k in STEMS if len(w) >= k)}
+                near = {f" {a} {b} " for a, b in zip(words, words[1:], strict=False) if a in held_by or b in held_by}
                 yield pa.record_batch([pa.array([mark] * len(near), pa.int32()), pa.array(list(near), pa.string())], ["label", "phrase"])
 
     seen = sample.select(F.col("label").cast("int"), "text").mapInArrow(phrases, "label int, phrase string")
     harmless = seen.groupBy("phrase").agg(F.sum("label").alias("bad"), F.count("*").alias("rows")).where("bad = 0 AND rows >= 3")
-    made = Lexicon(terms, [r["phrase"] for r in harmless.orderBy(F.desc("rows"), "phrase").limit(_MOST_TERMS).collect()])
+    made = Lexicon(terms, [r["phrase"] for r in harmless.orderBy(F.desc("rows"), "phrase").collect()])
     rows = weighed(sample, made).select("label", "toxic_weight", "n_words").collect()
     x = np.array([[1.0, *features(r["toxic_weight"], r["n_words"])] for r in rows])
     y = np.array([r["label"] for r in rows], float)

@@ -257,6 +257,22 @@ def test_toxicity_on_held_out_texts(spark):
     assert any(t.startswith(" vequ") for t in lexicon.terms)
 
 
+def test_toxicity_learns_words_beside_seeds_but_not_those_of_copies(spark):
+    generate = random.Random(7)
+    usual = ["".join(generate.choice("aeioumnrst") for _ in range(6)) for _ in range(3000)]
+    bad = ["vequzan", "grobbin", "wyxlop", "dwizzek", "flurgid", "kvabbel"]
+    text = lambda *more: " ".join(generate.sample([*(generate.choice(usual) for _ in range(60)), *more], 60 + len(more)))
+    copied = text("idiot") + " quabzicle hovvertix"
+    rows = [(text(*generate.sample(bad, 2), "idiot"), 1) for _ in range(60)] + [(text(), 0) for _ in range(300)]
+    rows += [(copied + f" nr{k}", 1) for k in range(30)] + [(text(word), None) for word in bad]
+    table = spark.createDataFrame([(k, t, y) for k, (t, y) in enumerate(rows)], "doc_id long, text string, toxic int")
+    lexicon = toxicity.learn(table.drop("toxic"), table.where("toxic IS NOT NULL").select("doc_id", "toxic"))
+    assert {toxicity.folded(w) for w in bad} <= set(lexicon.terms)
+    assert not {toxicity.folded(w) for w in ("quabzicle", "hovvertix")} & set(lexicon.terms)
+    scores = toxicity.scored(table, lexicon).where("toxic IS NULL OR toxic = 0").select("toxic", "score").collect()
+    assert min(r["score"] for r in scores if r["toxic"] is None) > max(r["score"] for r in scores if r["toxic"] == 0)
+
+
 def plain_secrets(text):
     found = []
     named = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
