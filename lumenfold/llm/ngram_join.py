@@ -41,6 +41,8 @@ COUNTER_BITS = 20
 _PART_BITS = 10
 #: Up to this many wanted texts are sent to all tasks (16 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Sets and shingles of a tile of the exact count, on average.
+TILE_SETS, TILE_GRAMS = 512, 1 << 18
 
 
 def count_columns(texts: DataFrame, words: int, bits: int = COUNTER_BITS) -> np.ndarray:
@@ -212,11 +214,57 @@ def _verified(pairs: DataFrame, wanted_sets, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(100 * overlap >= percent * union).select("a", "b")
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id, n_linked.
+def count_links(members: DataFrame, wanted_sets, percent: int) -> DataFrame:
+    """``node, n_linked``: how many rows of other sets of its component each set links with, counted exactly.
 
-    component_id is the smallest id reachable over links, its own included. n_linked counts the links found of
-    the row's set to other sets (those inside a component that was already known are not searched for).
+    ``members`` has one row per set of a component: node, root, n, copies. A component is cut into tiles by bands of
+    sizes and a hash, bounded in sets and shingles. One task multiplies two tiles and keeps sums per set, no pairs.
+    """
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100.5 / percent)).cast("int")
+    members = materialize(members.withColumn("band", band), "members-banded")
+    cells = members.groupBy("root", "band").agg(F.count("*").alias("sets"), F.sum("n").alias("grams"))
+    cells = cells.select("root", "band", F.ceil(F.greatest(F.col("sets") / TILE_SETS, F.col("grams") / TILE_GRAMS)).cast("int").alias("tiles"))
+    cells = materialize(cells, "cells")
+    tiled = members.join(cells, ["root", "band"]).withColumn("tile", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
+    rows = materialize(tiled.join(wanted_sets(members.select("node")), "node").select("root", "band", "tile", "node", "copies", "grams"), "tiles")
+    tiles = cells.select("root", "band", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
+    # Linked sets are never more than one band apart.
+    one = tiles.select("root", F.col("band").alias("a_band"), F.col("tile").alias("a_tile"), F.explode(F.array("band", F.col("band") + 1)).alias("b_band"))
+    two = tiles.select("root", F.col("band").alias("b_band"), F.col("tile").alias("b_tile"))
+    pairs = one.join(two, ["root", "b_band"]).where("a_band < b_band OR a_tile <= b_tile")
+    same = (F.col("a_band") == F.col("b_band")) & (F.col("a_tile") == F.col("b_tile"))
+    key = ["root", "a_band", "a_tile", "b_band", "b_tile"]
+    ends = F.when(same, F.array(F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1)))
+    sides = pairs.select(*key, F.explode(ends).alias("side"))
+    sides = sides.withColumn("band", F.when(F.col("side") == 1, F.col("b_band")).otherwise(F.col("a_band")))
+    sides = sides.withColumn("tile", F.when(F.col("side") == 1, F.col("b_tile")).otherwise(F.col("a_tile")))
+    met = sides.join(rows, ["root", "band", "tile"]).select(*key, "side", "node", "copies", "grams")
+
+    def multiply(table: pa.Table) -> pa.Table:
+        side, nodes, copies = (table.column(c).to_numpy() for c in ("side", "node", "copies"))
+        lists = table.column("grams").combine_chunks()
+        sizes = lists.value_lengths().to_numpy()
+        grams_, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(nodes)), sizes)
+        owner = owner[np.argsort(grams_, kind="stable")]
+        _, counts = np.unique(grams_, return_counts=True)
+        overlap = np.zeros((len(nodes), len(nodes)), np.int32)
+        for rows_ in np.split(owner, np.cumsum(counts)[:-1]):
+            if len(rows_) > 1:
+                overlap[np.ix_(rows_, rows_)] += 1
+        linked = 100 * overlap.astype(np.int64) >= percent * (sizes[:, None] + sizes[None, :] - overlap)
+        linked &= (side[:, None] != side[None, :]) | (side[:, None] == 2)
+        np.fill_diagonal(linked, False)
+        return pa.table({"node": pa.array(nodes, pa.int64()), "n_linked": pa.array(linked @ copies.astype(np.int64), pa.int64())})
+
+    found = met.groupBy(*key).applyInArrow(multiply, "node bigint, n_linked bigint")
+    return found.groupBy("node").agg(F.sum("n_linked").alias("n_linked"))
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", id: str = "doc_id", counted: bool = True) -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles, component_id and, if ``counted``, n_linked.
+
+    component_id is the smallest id reachable over links, its own included. n_linked is the number of other rows the
+    row links with, rows of the same set included. Counting is quadratic in the size of one component.
     Null and empty texts and texts without words have no shingles, link with nothing, and keep their own id.
     Rows may repeat ids; a null id gets the smallest id of its component, or null. Other columns are ignored.
     """
@@ -235,9 +283,14 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
         texts = keyed.join(ends, "text_key").select("node", "text")
         return shingle_arrays(texts, words).groupBy("node").agg(F.first("grams").alias("grams"))
 
-    links, roots = link_nodes(nodes, wanted_sets, percent)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_linked"))
-    member = stored.select("id", "n", "node").join(roots, "node", "left").join(degree, "node", "left")
+    _, roots = link_nodes(nodes, wanted_sets, percent)
+    member = stored.select("id", "n", "node").join(roots, "node", "left")
+    if counted:
+        copies = worded.groupBy("node").agg(F.first("n").alias("n"), F.count("*").alias("copies"))
+        copies = materialize(copies.join(roots, "node", "left"), "set-copies")
+        others = count_links(copies.where("root IS NOT NULL"), wanted_sets, percent)
+        alike = copies.select("node", (F.col("copies") - 1).alias("alike")).join(others, "node", "left")
+        member = member.join(alike.select("node", (F.col("alike") + F.coalesce("n_linked", F.lit(0))).alias("n_linked")), "node", "left")
     member = member.withColumn("root", F.coalesce("root", "node"))
     lowest = member.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("component_id"))
     found = member.join(lowest, "root", "left")
@@ -245,7 +298,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, text:
         F.col("id").alias(id),
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
-        F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
+        *([F.coalesce("n_linked", F.lit(0)).alias("n_linked")] if counted else []),
     )
 
 
@@ -254,7 +307,7 @@ def keep_representatives(docs: DataFrame, words: int = 5, percent: int = 80) ->
 
     Rows with a null doc_id stay, and so do all rows that repeat the smallest id.
     """
-    found = jaccard_components(docs, words, percent).where("doc_id IS NOT NULL")
+    found = jaccard_components(docs, words, percent, counted=False).where("doc_id IS NOT NULL")
     first = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"))
     # The few that go are sent to the texts, not the texts to them.
     gone, count = materialize_counting(first.where("NOT first").select("doc_id"), "near-duplicates", F.lit(True))

@@ -56,7 +56,7 @@ FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
 )
 def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents linked at three words and 0.9."""
-    return ngram_join.jaccard_components(documents(spark, folder), words=3, percent=90).select("doc_id", "n_shingles", "component_id")
+    return ngram_join.jaccard_components(documents(spark, folder), words=3, percent=90, counted=False)
 
 
 @query("op3_pieces")

@@ -81,6 +81,25 @@ def test_ngram_join_finds_every_link(spark, words, percent):
     assert found == {k: (len(sets[k]), lowest[r]) for k, r in enumerate(root)}
 
 
+@pytest.mark.parametrize("tile", [512, 7])
+def test_ngram_join_counts_every_link(spark, monkeypatch, tile):
+    """Also inside groups of near copies, over tiles and bands of sizes; copies of a set count each."""
+    monkeypatch.setattr(ngram_join, "TILE_SETS", tile)
+    generate, texts = random.Random(11), ["alone " * 9, ""]
+    for size in (40, 12):
+        base = [str(generate.randrange(300)) for _ in range(size)]
+        for k in range(30):
+            copy = base + [f"end{x}" for x in range(k % 6)]
+            copy[generate.randrange(size)] = str(generate.randrange(3))
+            texts += [" ".join(copy)] * generate.choice([1, 1, 2])
+    sets = [{tuple(w[i : i + 2]) for i in range(len(w) - 1)} for w in map(str.split, texts)]
+    link = lambda a, b: bool(a and b) and 100 * len(a & b) >= 80 * len(a | b)
+    plain = {k: sum(link(a, b) for j, b in enumerate(sets) if j != k) for k, a in enumerate(sets)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["n_linked"] for r in ngram_join.jaccard_components(docs, 2, 80).collect()} == plain
+    assert max(plain.values()) > 5
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(300, 301), (301, 301), (None, 5)], "a long, b long")
     found = {r["node"]: r["root"] for r in components.components(links).collect()}
