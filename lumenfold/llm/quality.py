@@ -84,19 +84,18 @@ def rules() -> dict[str, Column]:
     }
 
 
-def estimate(patterns: list[tuple[tuple[int | None, ...], int]], width: int, rounds: int = 200) -> tuple[float, list[dict]]:
+def estimate(patterns: list[tuple[tuple[int | None, ...], int]], width: int) -> tuple[float, list[dict]]:
     """Expectation-maximisation over vote patterns with counts: log odds of good, and what each vote adds.
 
     Rules are taken as independent given the class. A fault shows in few rules, so it starts from the number of bad
-    votes: none is likely good, one is open, two are likely bad. It ends when the posteriors settle (the rounds are
-    a limit on an ascent that settles long before).
+    votes: none is likely good, one is open, two are likely bad. It ends when the posteriors settle, however many
+    rounds that takes: every round raises the likelihood, and the patterns are few.
     """
     total = sum(c for _, c in patterns) or 1
     share = []
     for votes, _ in patterns:
         share.append((0.95, 0.5, 0.05)[min(2, sum(v == 0 for v in votes))])
-    adds, prior, last = [], 0.0, -math.inf
-    for _ in range(rounds):
+    while True:
         good = sum(p * c for p, (_, c) in zip(share, patterns, strict=True))
         prior = math.log((good + 1) / (total - good + 1))
         adds = []
@@ -107,11 +106,9 @@ def estimate(patterns: list[tuple[tuple[int | None, ...], int]], width: int, rou
                 said[votes[j]][1] += (1 - p) * c
             adds.append({v: math.log(a / (good + 3)) - math.log(b / (total - good + 3)) for v, (a, b) in said.items()})
         odds = [prior + sum(adds[j][v] for j, v in enumerate(votes)) for votes, _ in patterns]
-        share = [1 / (1 + math.exp(-max(-500.0, min(500.0, o)))) for o in odds]
-        sure = sum(c * abs(p - 0.5) for p, (_, c) in zip(share, patterns, strict=True))
-        if abs(sure - last) <= 1e-9 * total:
+        before, share = share, [1 / (1 + math.exp(-max(-500.0, min(500.0, o)))) for o in odds]
+        if all(abs(a - b) <= 1e-9 for a, b in zip(before, share, strict=True)):
             break
-        last = sure
     return prior, adds
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import tracemalloc
@@ -256,6 +257,21 @@ def test_estimate_finds_the_better_rules():
     assert right >= 0.93 * 4000
 
 
+def test_estimate_ends_where_another_start_of_rounds_changes_nothing():
+    """These votes take more than 200 rounds, and two verdicts change after them."""
+    generate = random.Random(11)
+    seen = [((a, b, c), generate.randrange(50, 3000)) for a in (0, 1) for b in (0, 1) for c in (0, 1)]
+    prior, adds = quality.estimate(seen, 3)
+    share = [1 / (1 + math.exp(-(prior + sum(a[v] for a, v in zip(adds, votes, strict=True))))) for votes, _ in seen]
+    total, good = sum(c for _, c in seen), sum(p * c for p, (_, c) in zip(share, seen, strict=True))
+    assert prior == pytest.approx(math.log((good + 1) / (total - good + 1)), abs=1e-5)
+    for j in range(3):
+        for v in (0, 1):
+            a = 1 + sum(p * c for p, (votes, c) in zip(share, seen, strict=True) if votes[j] == v)
+            b = 1 + sum((1 - p) * c for p, (votes, c) in zip(share, seen, strict=True) if votes[j] == v)
+            assert adds[j][v] == pytest.approx(math.log(a / (good + 3)) - math.log(b / (total - good + 3)), abs=1e-5)
+
+
 def test_toxicity_on_held_out_texts(spark):
     generate = random.Random(2)
     usual = ["".join(generate.choice("aeioumnrst") for _ in range(5)) for _ in range(60)]
