@@ -50,8 +50,10 @@ _NO_WIDTH = "­​‌‍⁠﻿"
 def _folding() -> dict[int, str | None]:
     table: dict[int, str | None] = {}
     alike = {c: latin for many, latin in LOOK_ALIKES.items() for c in many}
-    for code in [*range(0x250), *range(0x370, 0x530), *range(0x1D00, 0x1D80), *range(0x1E00, 0x2000), *range(0x2000, 0x2070), *range(0xFF00, 0xFF5F)]:
-        c = unicodedata.normalize("NFKD", chr(code)).lower()
+    listed = [ord(x) for c in alike for x in (c, c.upper()) if len(x) == 1]
+    for code in [*listed, *range(0x250), *range(0x370, 0x530), *range(0x1D00, 0x1D80), *range(0x1E00, 0x2000), *range(0x2000, 0x2070), *range(0xFF00, 0xFF5F)]:
+        c = chr(code).lower()
+        c = alike.get(c) or unicodedata.normalize("NFKD", chr(code)).lower()
         c = "".join(alike.get(x, x) for x in c if not unicodedata.combining(x))
         c = "".join(STAND_INS.get(x, x) for x in c)
         table[code] = c if c.isalnum() else "" if chr(code) in _NO_WIDTH else " "

@@ -292,6 +292,12 @@ def test_toxicity_on_held_out_texts(spark):
     assert any(t.startswith(" vequ") for t in lexicon.terms)
 
 
+def test_every_look_alike_folds():
+    for many, latin in toxicity.LOOK_ALIKES.items():
+        for c in many + "".join(x for x in map(str.upper, many) if len(x) == 1):
+            assert toxicity.folded(c) == toxicity.folded(latin), c
+
+
 def test_toxicity_learns_words_beside_seeds_but_not_those_of_copies(spark):
     generate = random.Random(7)
     usual = ["".join(generate.choice("aeioumnrst") for _ in range(6)) for _ in range(3000)]
