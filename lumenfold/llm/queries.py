@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import zlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lumenfold.llm import chat, exact_dedup, mixing, ngram_join, pieces, pii, quality, resharding, secrets, toxicity
+from lumenfold.llm import chat, exact_dedup, mixing, ngram_join, packing, pieces, pii, quality, resharding, secrets, spelling, toxicity, whitening
 
-#: A public model file; the driver reads it and sends it to the tasks.
+#: Public model files; the driver reads them and sends them to the tasks.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_IDS = "/opt/tokenizers/byte_bpe_50k.json"
 #: A key for the tables of the tests; a user passes their own.
 PSEUDONYM_KEY = b"key for given tables"
 
@@ -209,3 +214,66 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     found = toxicity.scored(docs, toxicity.learn(docs, labels.select("doc_id", "toxic")))
     predicted = (F.col("score") >= 0.5).cast("int")
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", predicted.alias("predicted"), "n_terms")
+
+
+@F.arrow_udf(T.LongType())
+def ids_crc32(ids: pa.Array) -> pa.Array:
+    """Of each list, the crc32 of its ids as little-endian unsigned 32-bit numbers."""
+    flat, ends = ids.values.to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_pylist()
+    return pa.array([zlib.crc32(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)], pa.int64())
+
+
+@query("op11_packing")
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1,024 tokens; each document ends with id 0."""
+    with open(BYTE_IDS, encoding="utf-8") as file:
+        found = packing.pack(documents(spark, folder), file.read(), end_id=0)
+    return found.select("doc_id", "start", "length", ids_crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+# DuckDB has no crc32: its table is made by its rule, and the remainder is taken byte by byte. Its edit distance counts
+# bytes, so letters of two bytes are first renamed to signs of one.
+_ACCENTED = "".join(map(chr, range(0xC0, 0x100)))
+_SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.islower() and c != "'")[:64]
+SPELLING_SQL = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) ORDER BY k) AS t
+  FROM range(256) r(k)
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run
+  FROM documents
+), counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+keyed AS (
+  SELECT run, n, list_prepend(4294967295::UBIGINT, flatten([CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END
+    FOR c IN string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, '')])::UBIGINT[]) AS bytes FROM counted
+), hashed AS (
+  SELECT run, n, xor(list_reduce(bytes, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::INT + 1])), 4294967295::UBIGINT) AS h FROM keyed, crc
+), spelled AS (
+  SELECT CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n, translate(word, '{_ACCENTED}', '{_SIGNS}') AS plain
+  FROM spelled WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), near AS (
+  SELECT x.word, x.n, y.word AS other, y.n AS other_n FROM words x JOIN words y
+    ON length(y.plain) BETWEEN length(x.plain) - 1 AND length(x.plain) + 1 AND x.word <> y.word WHERE levenshtein(x.plain, y.plain) = 1
+), best AS (
+  SELECT word, count(*) AS n_near, any_value(n) AS n, first(other ORDER BY other_n DESC, other) AS form, max(other_n) AS form_n FROM near GROUP BY word
+), forms AS (SELECT word, form, form_n FROM best WHERE form_n >= 5 * n),
+ways AS (
+  SELECT word, word AS root, 0 AS step FROM words UNION ALL SELECT ways.word, forms.form, step + 1 FROM ways JOIN forms ON forms.word = ways.root
+), roots AS (SELECT word, last(root ORDER BY step) AS root FROM ways GROUP BY word)
+SELECT word, words.n, coalesce(best.n_near, 0) AS n_near, forms.form, forms.form_n, root
+FROM words JOIN roots USING (word) LEFT JOIN best USING (word) LEFT JOIN forms USING (word)"""
+
+
+@query("op12_spelling", SPELLING_SQL)
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of six letters and five occurrences or more, with the words one edit apart."""
+    return spelling.variants(spelling.word_counts(documents(spark, folder), drop=199))
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Whitened scores of every vector on the 32 leading components."""
+    found = whitening.whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    return found.withColumn("deviation", F.col("deviation").cast("bigint"))
