@@ -1,45 +1,61 @@
 """Token ids of texts by a public byte-level tokenizer; ids of stretches that a worker has met are remembered.
 
-No token of such a tokenizer holds anything before a space that follows a character other than white space, nor
-before the last space of a run of white space that a word follows. Between two such places a text is encoded on its
-own, with the result it has inside the whole text, and most stretches occur again and again.
+Such a tokenizer first cuts a text into letters, digits, signs (each with the space before them) and white space, and
+no token reaches over a cut. Places where letters or signs of these alphabets end, and those before the last character
+of a run of white space, are certainly cuts. Between two such places a text is encoded on its own, with the result it
+has inside the whole text, and most stretches occur again and again; the tokenizer sees only those that are new.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: White space as the tokenizer's pattern knows it (fixed value: the White_Space characters of Unicode).
-WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_STRETCH = re.compile(f" [^{WHITE}]+|[{WHITE}]+(?= [^{WHITE}])|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-#: Stretches that a worker process remembers before it starts anew (a batch may add its own), and their length.
-REMEMBERED, _LONGEST_REMEMBERED = 400_000, 48
-#: Stretches of a text that are looked up at a time.
-_AT_A_TIME = 1 << 16
+WHITE = "\t-\r \x85\xa0  -     　"
+_NO_SPACE = WHITE.replace(" ", "")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: Signs that begin no contraction.
+_SIGNS = r"!-&(-/:-@\[-`{-~"
+_GAP = f"[{WHITE}]+(?=[{WHITE}][^{WHITE}])|[{_NO_SPACE}](?=[^{WHITE}])| ?[^{WHITE}]+|[{WHITE}]+"
+_STRETCH = re.compile(f" ?[{_LETTERS}]+(?=['{_SIGNS}{WHITE}]|\\Z)| ?[{_SIGNS}]+(?=[{WHITE}A-Za-z]|\\Z)|{_GAP}")
+#: Where a long text may be cut: at a single space between other characters.
+_CUT = re.compile(f"(?<=[^{WHITE}]) (?=[^{WHITE}])")
+#: Texts with a space before white space or at their end are cut into stretches one by one.
+_ODD_SPACE = f" [{WHITE}]| $"
+#: Stretches that a worker process remembers, twice, before the older ones go, and the longest of them.
+REMEMBERED, _LONGEST_REMEMBERED = 250_000, 48
+#: Characters that are encoded at a time.
+_AT_A_TIME = 1 << 22
 _HELD: dict[str, ByteIds] = {}
 
 
 class ByteIds:
-    """Encodes texts; special tokens are neither added nor, unless ``plain``, missed inside a text."""
+    """Encodes texts without adding special tokens; those that stand in a text count, unless ``plain``."""
 
     def __init__(self, model: str, plain: bool = False) -> None:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task has one core
         from tokenizers import Tokenizer
 
         made = json.loads(model)
         if made["normalizer"] or made["pre_tokenizer"]["type"] != "ByteLevel" or made["pre_tokenizer"]["add_prefix_space"]:
             raise ValueError("not a byte-level tokenizer without a leading space")
-        if any(re.search(f"[{WHITE}]", t["content"]) or t["lstrip"] or t["rstrip"] for t in made["added_tokens"]):
-            raise ValueError("special tokens of this tokenizer reach over white space")
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in made["added_tokens"]):
+            raise ValueError("special tokens of this tokenizer hold spaces or depend on what is beside them")
+        special = sorted((t["content"] for t in made["added_tokens"]), key=len, reverse=True)
+        self.special = re.compile(f"({'|'.join(map(re.escape, special))})") if special and not plain else None
+        self.odd = "|".join([_ODD_SPACE, *(map(re.escape, special) if self.special else ())])
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.encode_special_tokens = plain
-        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     @classmethod
     def of_worker(cls, model: str) -> ByteIds:
@@ -49,32 +65,89 @@ class ByteIds:
             _HELD[model] = cls(model)
         return _HELD[model]
 
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of a text as unsigned 32-bit numbers, whatever its length; the search for stretches goes on in parts."""
-        return np.frombuffer(b"".join(b"".join(part) for part in self._parts(text)), np.uint32)
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text as unsigned 32-bit numbers; null is empty. Short texts go together, a long one in parts."""
+        texts = texts.fill_null("")
+        upto = np.append(0, np.cumsum(pc.utf8_length(texts).to_numpy()))
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(upto, upto[at] + _AT_A_TIME, "right")) - 1)
+            if upto[end] - upto[at] > _AT_A_TIME:
+                yield np.concatenate([next(self._together(pa.array([part]))) for part in _parts(texts[at].as_py())])
+            else:
+                yield from self._together(texts.slice(at, end - at))
+            at = end
 
-    def _parts(self, text: str) -> Iterator[list[bytes]]:
-        stretches: list[str] = []
-        for found in _STRETCH.finditer(text) if len(text) > 1 << 20 else [None]:
-            if found is None:
-                stretches = _STRETCH.findall(text)
+    def _together(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Each different stretch between spaces is cut once, and each different one of letters or signs looked up once."""
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
+        split = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        coded, ends = split.flatten().dictionary_encode(), np.cumsum(pc.list_value_length(split).to_numpy())
+        units = [" " + s for s in coded.dictionary.to_pylist()]
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        # The first stretch of a text follows no space.
+        starts = np.append(0, ends)[:-1]
+        first = coded.dictionary.take(coded.indices.take(pa.array(starts))).to_pylist()
+        codes[starts] = np.arange(len(units), len(units) + len(first))
+        units += first
+        words: list[str] = []
+        upto = [0]
+        for unit in units:
+            words += _STRETCH.findall(unit)
+            upto.append(len(words))
+        for text in texts.filter(pa.array(odd)).to_pylist():
+            words += self._stretches(text)
+            upto.append(len(words))
+        flat, bounds = self._looked_up(words)
+        unit_bounds = bounds[upto]
+        ids, plain_ends = _gathered(flat, unit_bounds, codes)
+        plain_bounds = np.append(0, plain_ends)[np.append(0, ends)]
+        plain, others = 0, len(units)
+        for is_odd in odd.tolist():
+            if is_odd:
+                yield flat[unit_bounds[others] : unit_bounds[others + 1]]
+                others += 1
             else:
-                stretches.append(found.group())
-                if len(stretches) < _AT_A_TIME:
-                    continue
-            yield self._looked_up(stretches)
-            stretches = []
-        if stretches:
-            yield self._looked_up(stretches)
-
-    def _looked_up(self, stretches: list[str]) -> list[bytes]:
-        found = list(map(self.known.get, stretches))
-        if None in found:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            new = list({s for s, ids in zip(stretches, found, strict=True) if ids is None})
-            packed = [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            made = dict(zip(new, packed, strict=True))
-            self.known.update((s, ids) for s, ids in made.items() if len(s) <= _LONGEST_REMEMBERED)
-            found = [made[s] if ids is None else ids for s, ids in zip(stretches, found, strict=True)]
-        return found
+                yield ids[plain_bounds[plain] : plain_bounds[plain + 1]]
+                plain += 1
+
+    def _stretches(self, text: str) -> list[str]:
+        """The stretches of any text; it is cut at special tokens before anything else."""
+        parts = self.special.split(text) if self.special else [text]
+        return [s for k, part in enumerate(parts) for s in ([part] if k % 2 else _STRETCH.findall(part))]
+
+    def _looked_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``words`` one after the other, and where those of each begin and end."""
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        if len(self.young) >= REMEMBERED:
+            self.young, self.old = {}, self.young
+        found = list(map(self.young.get, different))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        again = list(map(self.old.get, [different[k] for k in missing]))
+        new = [k for k, ids in zip(missing, again, strict=True) if ids is None]
+        for k, ids in zip(missing, again, strict=True):
+            found[k] = ids
+        for k, made in zip(new, self.tokenizer.encode_batch_fast([different[k] for k in new], add_special_tokens=False), strict=True):
+            found[k] = array("I", made.ids).tobytes()
+        self.young.update({different[k]: found[k] for k in missing if len(different[k]) <= _LONGEST_REMEMBERED})
+        bounds = np.cumsum([0, *map(len, found)]) // 4
+        ids, ends = _gathered(np.frombuffer(b"".join(found), np.uint32), bounds, coded.indices.to_numpy(zero_copy_only=False))
+        return ids, np.append(0, ends)
+
+
+def _gathered(flat: np.ndarray, bounds: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches ``codes`` of ``flat`` one after the other, and where each ends."""
+    lengths = np.diff(bounds)[codes]
+    ends = np.cumsum(lengths)
+    shift = np.repeat(bounds[:-1][codes] - (ends - lengths), lengths)
+    return flat[np.arange(len(shift)) + shift], ends
+
+
+def _parts(text: str) -> Iterator[str]:
+    at = 0
+    while at < len(text):
+        place = _CUT.search(text, at + _AT_A_TIME)
+        end = place.start() if place else len(text)
+        yield text[at:end]
+        at = end

@@ -132,8 +132,8 @@ def pack(
         group = TaskContext.get().partitionId()
         for batch in batches:
             out = out or _Rows(group << 24, batch.column("id").type)
-            for name, value in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = np.concatenate([encoder.encode(value or ""), end])
+            for name, encoded in zip(batch.column("id").to_pylist(), encoder.encode(batch.column("text")), strict=True):
+                ids = np.concatenate([encoded, end])
                 for pieces in packer.add((name, len(ids)), 0, ids):
                     out.put(pieces)
                 if len(out.rows) >= _ROWS_OUT:

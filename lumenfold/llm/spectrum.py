@@ -134,7 +134,7 @@ def leading(matrix: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     """
     spectrum = Spectrum(matrix)
     values, vectors = [], np.zeros((len(matrix), 0))
-    for number in range(1, min(count, len(matrix)) + 1):
+    for number in range(1, min(count, len(matrix)) + 1 if matrix.any() else 1):
         value, vector = spectrum.pair(number, vectors)
         if value <= spectrum.blur:
             break
