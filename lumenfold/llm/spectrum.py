@@ -122,7 +122,7 @@ class Spectrum:
                     return made
             except np.linalg.LinAlgError:
                 pass
-            shift += self.blur / 16  # the shift is an eigenvalue to the last bit
+            shift += self.blur / 2  # the shift is an eigenvalue to the last bit
         raise ArithmeticError("no shift near the eigenvalue can be solved for")
 
 
