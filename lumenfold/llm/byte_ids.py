@@ -8,10 +8,10 @@ has inside the whole text, and most stretches occur again and again; the tokeniz
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +30,10 @@ _STRETCH = re.compile(f" ?[{_LETTERS}]+(?=['{_SIGNS}{WHITE}]|\\Z)| ?[{_SIGNS}]+(
 _CUT = re.compile(f"(?<=[^{WHITE}]) (?=[^{WHITE}])")
 #: Texts with a space before white space or at their end are cut into stretches one by one.
 _ODD_SPACE = f" [{WHITE}]| $"
-#: Stretches that a worker process remembers, twice, before the older ones go, and the longest of them.
-REMEMBERED, _LONGEST_REMEMBERED = 250_000, 48
-#: Characters that are encoded at a time.
-_AT_A_TIME = 1 << 22
+#: Stretches, and ids of them, that a worker process remembers before it starts anew (a batch may add its own).
+REMEMBERED, _REMEMBERED_IDS = 600_000, 8_000_000
+#: Characters that are encoded at a time, and new stretches that the tokenizer gets as one text.
+_AT_A_TIME, _JOINED = 1 << 22, 256
 _HELD: dict[str, ByteIds] = {}
 
 
@@ -54,8 +54,18 @@ class ByteIds:
         self.odd = "|".join([_ODD_SPACE, *(map(re.escape, special) if self.special else ())])
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.encode_special_tokens = plain
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: Bytes that an id stands for: a token's name has a character for each.
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for name, k in vocabulary.items():
+            self.bytes_of[k] = len(name)
+        for token in made["added_tokens"]:
+            self.bytes_of[token["id"]] = len(token["content"].encode())
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.bounds = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
     @classmethod
     def of_worker(cls, model: str) -> ByteIds:
@@ -83,7 +93,7 @@ class ByteIds:
         odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
         split = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
         coded, ends = split.flatten().dictionary_encode(), np.cumsum(pc.list_value_length(split).to_numpy())
-        units = [" " + s for s in coded.dictionary.to_pylist()]
+        units = [" " + s for s in _strings(coded.dictionary)]
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         # The first stretch of a text follows no space.
         starts = np.append(0, ends)[:-1]
@@ -118,23 +128,42 @@ class ByteIds:
 
     def _looked_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all ``words`` one after the other, and where those of each begin and end."""
+        if len(self.known) >= REMEMBERED or len(self.ids) >= _REMEMBERED_IDS:
+            self._forget()
         coded = pa.array(words, pa.string()).dictionary_encode()
-        different = coded.dictionary.to_pylist()
-        if len(self.young) >= REMEMBERED:
-            self.young, self.old = {}, self.young
-        found = list(map(self.young.get, different))
-        missing = [k for k, ids in enumerate(found) if ids is None]
-        again = list(map(self.old.get, [different[k] for k in missing]))
-        new = [k for k, ids in zip(missing, again, strict=True) if ids is None]
-        for k, ids in zip(missing, again, strict=True):
-            found[k] = ids
-        for k, made in zip(new, self.tokenizer.encode_batch_fast([different[k] for k in new], add_special_tokens=False), strict=True):
-            found[k] = array("I", made.ids).tobytes()
-        self.young.update({different[k]: found[k] for k in missing if len(different[k]) <= _LONGEST_REMEMBERED})
-        bounds = np.cumsum([0, *map(len, found)]) // 4
-        ids, ends = _gathered(np.frombuffer(b"".join(found), np.uint32), bounds, coded.indices.to_numpy(zero_copy_only=False))
+        different = _strings(coded.dictionary)
+        at = np.fromiter(map(self.known.get, different, itertools.repeat(-1)), np.int64, len(different))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            first = len(self.known)
+            # Those that begin with one space and end without stay apart when they are joined.
+            spaced, others = [], []
+            for k in missing.tolist():
+                word = different[k]
+                (spaced if word[0] == " " != word and not word[1].isspace() and not word[-1].isspace() else others).append(k)
+            order = spaced + others
+            new = [different[k] for k in order]
+            self._learn(new[: len(spaced)], new[len(spaced) :])
+            at[order] = np.arange(first, first + len(new))
+            self.known.update(zip(new, range(first, first + len(new)), strict=True))
+        ids, ends = _gathered(self.ids, self.bounds, at[coded.indices.to_numpy(zero_copy_only=False)])
         return ids, np.append(0, ends)
 
+    def _learn(self, spaced: list[str], others: list[str]) -> None:
+        """Add the ids of new stretches."""
+        joined = ["".join(spaced[k : k + _JOINED]) for k in range(0, len(spaced), _JOINED)]
+        encoded = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([*joined, *others], add_special_tokens=False)]
+        together = np.concatenate([np.empty(0, np.uint32), *encoded[: len(joined)]])
+        sizes = pc.binary_length(pa.array(spaced, pa.string())).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.searchsorted(np.cumsum(self.bytes_of[together]), np.cumsum(sizes)) + 1
+        ends = np.append(ends, len(together) + np.cumsum([len(e) for e in encoded[len(joined) :]], dtype=np.int64))
+        self.bounds = np.append(self.bounds, self.bounds[-1] + ends)
+        self.ids = np.concatenate([self.ids, *encoded])
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
 
 def _gathered(flat: np.ndarray, bounds: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The stretches ``codes`` of ``flat`` one after the other, and where each ends."""
