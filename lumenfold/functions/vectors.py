@@ -21,7 +21,7 @@ VECTOR = T.ArrayType(T.FloatType())
 
 def present_rows(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Which rows of a list column hold a vector."""
-    return np.asarray(column.is_valid().to_pylist(), dtype=bool)
+    return np.asarray(column.is_valid())
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -59,14 +59,17 @@ def unit_vector(vectors: pa.Array) -> pa.Array:
     return list_array(unit_rows(matrix(vectors)), present_rows(vectors))
 
 
+SLOT_COUNTS = T.StructType([T.StructField("slots", T.ArrayType(T.IntegerType())), T.StructField("hits", T.ArrayType(T.IntegerType()))])
+
+
 def word_slots(dim: int):
-    """Text → how often its words hit each of ``dim`` hash slots.
+    """Text → which of ``dim`` hash slots its words hit, ascending, and how often.
 
     The slot of a word is the first 32 bits of its MD5 digest modulo ``dim``;
     distinct words of a batch are hashed once.
     """
 
-    @F.arrow_udf(VECTOR)
+    @F.arrow_udf(SLOT_COUNTS)
     def slots(texts: pa.Array) -> pa.Array:
         rows = [split_words(t) for t in texts.to_pylist()]
         n = len(rows)
@@ -75,17 +78,40 @@ def word_slots(dim: int):
         cell = np.repeat(np.arange(n, dtype=np.int64) * dim, [len(r) for r in rows])
         if len(cell):
             cell = cell + slot[coded.indices.to_numpy(zero_copy_only=False)]
-        return list_array(np.bincount(cell, minlength=n * dim).reshape(n, dim))
+        hit, times = np.unique(cell, return_counts=True)
+        ends = pa.array(np.searchsorted(hit, np.arange(n + 1) * dim).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(v.astype(np.int32))) for v in (hit % dim, times)]
+        return pa.StructArray.from_arrays(lists, ["slots", "hits"])
 
     return slots
 
 
+def _spread(slots: pa.Array, values: pa.Array, dim: int) -> np.ndarray:
+    """Lists of slots and their values as rows of a matrix; null lists give zeros."""
+    rows = np.zeros((len(slots), dim))
+    sizes = pc.fill_null(pc.list_value_length(slots), 0).to_numpy(zero_copy_only=False)
+    at = np.repeat(np.arange(len(slots)), sizes)
+    rows[at, slots.flatten().to_numpy(zero_copy_only=False)] = values.flatten().to_numpy(zero_copy_only=False)
+    return rows
+
+
+def spread(dim: int):
+    """Lists of slots and of numbers → ``dim`` numbers, zero where no slot is listed."""
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def dense(slots: pa.Array, values: pa.Array) -> pa.Array:
+        rows = _spread(slots, values, dim)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * dim), pa.array(rows.ravel()))
+
+    return dense
+
+
 @F.arrow_udf(VECTOR)
-def weigh_slots(counts: pa.Array, entries: pa.Array, containing: pa.Array) -> pa.Array:
-    """Unit vector of ln(1 + count) · ln((1 + entries) / (1 + entries containing the slot))."""
+def weigh_slots(slots: pa.Array, hits: pa.Array, entries: pa.Array, containing: pa.Array) -> pa.Array:
+    """Unit vector of ln(1 + hits) · ln((1 + entries) / (1 + entries containing the slot))."""
     total = entries.to_numpy(zero_copy_only=False).astype(np.float64)[:, None]
     rarity = np.log((1.0 + total) / (1.0 + matrix(containing)))
-    return list_array(unit_rows(np.log1p(matrix(counts)) * rarity))
+    return list_array(unit_rows(np.log1p(_spread(slots, hits, rarity.shape[1])) * rarity))
 
 
 @F.arrow_udf(T.DoubleType())
@@ -102,10 +128,5 @@ def vector_sum(vector: Column) -> Column:
     return vector_to_array(Summarizer.sum(array_to_vector(vector)))
 
 
-def vector_nonzeros(vector: Column) -> Column:
-    """Aggregate: how many rows are non-zero in each position."""
-    return vector_to_array(Summarizer.numNonZeros(array_to_vector(vector)))
-
-
 def squared_length(vector: Column) -> Column:
     return F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))

@@ -11,7 +11,7 @@ from lumenfold.functions import text as tx
 from lumenfold.functions import vectors as vx
 from lumenfold.operators import communities as cm
 from lumenfold.operators import graph, labels, sweep
-from lumenfold.operators.embed import embed_entries, require_vectors, slot_rarity
+from lumenfold.operators.embed import embed_entries, rarity_of, require_vectors, slot_counts, weighed
 from lumenfold.operators.shape import all_text, normalize_entries, resolve_entry_id, with_builder_text
 from lumenfold.schema import (
     DEFAULT_ID_PREFIX,
@@ -146,10 +146,13 @@ def build_cluster_index(
     if vectors is not None:
         require_vectors(entries, vectors)
     builtin = vectors is None and vectorizer is None
-    rarity = materialize(slot_rarity(entries), "slot-rarity") if builtin else None
-    embedded = embed_entries(
-        entries, vectors=vectors, vectorizer=vectorizer, rarity=rarity, keep=["entry_id", "entry_index"]
-    )
+    rarity, keep = None, ["entry_id", "entry_index"]
+    if builtin:
+        counts = materialize(slot_counts(entries, keep=keep), "slot-counts")
+        rarity = materialize(rarity_of(counts), "slot-rarity")
+        embedded = weighed(counts, rarity)
+    else:
+        embedded = embed_entries(entries, vectors=vectors, vectorizer=vectorizer, keep=keep)
     stored = materialize(embedded, "entry-vectors")
     sizes = stored.groupBy(*SCOPE).agg(
         F.count("*").alias("n"), F.max("model").alias("model"), F.max(F.size("vector")).alias("dimension")

@@ -8,17 +8,42 @@ from pyspark.sql import functions as F
 from lumenfold.functions import vectors as vx
 from lumenfold.operators.shape import embedding_text, resolve_entry_id
 from lumenfold.schema import SCOPE
+from lumenfold.session import materialize
 
 
-def slot_rarity(entries: DataFrame, text: Column | None = None, dim: int = 512) -> DataFrame:
-    """Per scope: entry count and, for each hash slot, the entries whose text hits it.
+def slot_counts(entries: DataFrame, text: Column | None = None, dim: int = 512, keep: list[str] | None = None) -> DataFrame:
+    """``(scope, keep…, slots, hits)``: the hash slots that the words of an entry hit, and how often.
 
-    One aggregate combined on the map side; ``dim`` numbers per scope remain.
+    Texts are split into words here and nowhere else; weights and vectors follow from these short lists.
     """
     value = embedding_text(entries) if text is None else text
-    return entries.groupBy(*SCOPE).agg(
-        F.count("*").alias("_entries"), vx.vector_nonzeros(vx.word_slots(dim)(value)).alias("_containing")
-    )
+    counted = entries.select(*SCOPE, *(keep or ["entry_id", "seq"]), vx.word_slots(dim)(value).alias("_counts"))
+    return counted.select("*", "_counts.slots", "_counts.hits").drop("_counts")
+
+
+def rarity_of(counts: DataFrame, dim: int = 512) -> DataFrame:
+    """Per scope: entry count and, for each hash slot, the entries whose text hits it.
+
+    Both are counts combined on the map side; ``dim`` numbers per scope remain.
+    """
+    hit = counts.select(*SCOPE, F.explode("slots").alias("slot")).groupBy(*SCOPE, "slot").agg(F.count("*").alias("n"))
+    listed = hit.groupBy(*SCOPE).agg(F.collect_list("slot").alias("_slots"), F.collect_list("n").alias("_ns"))
+    sizes = counts.groupBy(*SCOPE).agg(F.count("*").alias("_entries"))
+    found = sizes.join(listed, SCOPE, "left")
+    return found.select(*SCOPE, "_entries", vx.spread(dim)("_slots", "_ns").alias("_containing"))
+
+
+def slot_rarity(entries: DataFrame, text: Column | None = None, dim: int = 512) -> DataFrame:
+    """``rarity_of`` the words of ``entries``."""
+    return rarity_of(slot_counts(entries, text, dim, keep=[]), dim)
+
+
+def weighed(counts: DataFrame, rarity: DataFrame, dim: int = 512) -> DataFrame:
+    """``slot_counts`` with, in place of the lists, the model and the unit vector of their weights."""
+    kept = [c for c in counts.columns if c not in ("slots", "hits")]
+    model = F.lit(f"hashed-words-{dim}").alias("model")
+    vector = vx.weigh_slots("slots", "hits", "_entries", "_containing").alias("vector")
+    return counts.join(rarity, SCOPE).select(*kept, model, vector)
 
 
 def embed_entries(
@@ -37,7 +62,7 @@ def embed_entries(
     * ``vectorizer``: a user's Arrow or pandas UDF over the embedding text;
     * otherwise hashed words weighted by how rare they are in the scope.
       ``rarity`` brings the weights of an existing index (for queries and new
-      entries); without it the given entries are read a second time for them.
+      entries); without it the word counts are stored once and give them.
     """
     keep = keep or ["entry_id", "seq"]
     value = embedding_text(entries) if text is None else text
@@ -47,15 +72,11 @@ def embed_entries(
     if vectorizer is not None:
         made = entries.select(*SCOPE, *keep, F.lit("custom").alias("model"), vectorizer(value).alias("vector"))
         return made.withColumn("vector", vx.unit_vector("vector"))
+    counts = slot_counts(entries, value, dim, keep)
     if rarity is None:
-        rarity = slot_rarity(entries, value, dim)
-    counted = entries.select(*SCOPE, *keep, vx.word_slots(dim)(value).alias("_counts"))
-    return counted.join(rarity, SCOPE).select(
-        *SCOPE,
-        *keep,
-        F.lit(f"hashed-words-{dim}").alias("model"),
-        vx.weigh_slots("_counts", "_entries", "_containing").alias("vector"),
-    )
+        counts = materialize(counts, "slot-counts")
+        rarity = rarity_of(counts, dim)
+    return weighed(counts, rarity, dim)
 
 
 def check_vectors(entries: DataFrame, vectors: DataFrame) -> DataFrame:

@@ -400,7 +400,7 @@ def cluster_ids(spark, d):
 
 # --- building and assigning -------------------------------------------------
 
-_DOC_SIMS = f"""{embedded_sql()}, dvi AS (SELECT dv.*, entry_index FROM dv JOIN entries USING (user_id, entry_id)),
+DOC_SIMS = f"""{embedded_sql()}, dvi AS (SELECT dv.*, entry_index FROM dv JOIN entries USING (user_id, entry_id)),
 sims AS (SELECT a.user_id, a.entry_index AS src, b.entry_index AS dst, round(sum(a.v * b.v), 9) AS sim FROM dvi a JOIN dvi b
   ON a.user_id = b.user_id AND a.slot = b.slot AND a.entry_index <> b.entry_index GROUP BY ALL),
 knn AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY user_id, src ORDER BY sim DESC, dst) AS rank FROM sims QUALIFY rank <= 8),
@@ -420,6 +420,11 @@ ided AS (SELECT *, row_number() OVER (PARTITION BY user_id, left(slug, 48) ORDER
 index_rows AS (SELECT *, 'auto-cluster-' || rtrim(left(slug, 48), '-') || CASE WHEN r > 1 THEN '-' || r ELSE '' END AS cluster_id FROM ided)"""
 
 
+BEST_CLUSTERS = """hits AS (SELECT user_id, entry_index, cluster_id, round(sum(d.v * c.v), 9) AS sim FROM dvi d
+      JOIN cvec c USING (user_id, slot) JOIN index_rows USING (user_id, cluster_no) GROUP BY ALL HAVING round(sum(d.v * c.v), 9) >= 0.7),
+    best AS (SELECT *, row_number() OVER (PARTITION BY user_id, entry_index ORDER BY sim DESC, cluster_id) AS r FROM hits QUALIFY r = 1)"""
+
+
 def _fixed(spark, d):
     entries = data.entries(spark, d).drop("links")
     return cl.build_cluster_index(entries, k=8, min_similarity=0.7, min_cluster_size=3, resolution=0.0)
@@ -427,7 +432,7 @@ def _fixed(spark, d):
 
 @query(
     "build_cluster_index",
-    f"""WITH RECURSIVE {_DOC_SIMS} SELECT user_id, cluster_no, cluster_id, array_to_string(keywords, '|') AS keywords, size, round(cohesion, 6) AS cohesion FROM index_rows""",
+    f"""WITH RECURSIVE {DOC_SIMS} SELECT user_id, cluster_no, cluster_id, array_to_string(keywords, '|') AS keywords, size, round(cohesion, 6) AS cohesion FROM index_rows""",
 )
 def build_cluster_index(spark, d):
     """Fixed settings with resolution 0, so that SQL can rebuild the same communities."""
@@ -448,9 +453,7 @@ def build_cluster_index_sweep(spark, d):
 
 @query(
     "cluster_entries",
-    f"""WITH RECURSIVE {_DOC_SIMS}, hits AS (SELECT user_id, entry_index, cluster_id, round(sum(d.v * c.v), 9) AS sim FROM dvi d
-      JOIN cvec c USING (user_id, slot) JOIN index_rows USING (user_id, cluster_no) GROUP BY ALL HAVING round(sum(d.v * c.v), 9) >= 0.7),
-    best AS (SELECT *, row_number() OVER (PARTITION BY user_id, entry_index ORDER BY sim DESC, cluster_id) AS r FROM hits QUALIFY r = 1)
+    f"""WITH RECURSIVE {DOC_SIMS}, {BEST_CLUSTERS}
     SELECT e.user_id, e.entry_id, lang || CASE WHEN cluster_id IS NULL THEN '' ELSE ',' || cluster_id END AS tags FROM entries e LEFT JOIN best USING (user_id, entry_index)""",
 )
 def cluster_entries(spark, d):

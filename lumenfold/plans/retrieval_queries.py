@@ -55,9 +55,9 @@ class Index:
 
     def __init__(self, spark, d):
         self.entries = materialize(documents(spark, d), "entries")
-        self.rarity = materialize(embed.slot_rarity(self.entries, dim=DIM), "rarity")
-        vectors = embed.embed_entries(self.entries, rarity=self.rarity, dim=DIM, keep=["entry_id", "entry_index"])
-        self.vectors = materialize(vectors, "vectors")
+        counts = materialize(embed.slot_counts(self.entries, dim=DIM, keep=["entry_id", "entry_index"]), "slot-counts")
+        self.rarity = materialize(embed.rarity_of(counts, DIM), "rarity")
+        self.vectors = materialize(embed.weighed(counts, self.rarity, DIM), "vectors")
         self.mentions = materialize(entities.extract_entities(self.entries), "mentions")
         catalysts = retrieval.build_catalysts(self.entries, self.mentions, self.vectors)
         self.catalysts = materialize(catalysts, "catalysts")

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lumenfold.operators import lifecycle as lc
+from lumenfold.operators import refresh
 from lumenfold.operators import shape as sh
 from lumenfold.plans import data
+from lumenfold.plans.cluster_queries import BEST_CLUSTERS, DOC_SIMS
 from lumenfold.plans.data import AS_OF
 from lumenfold.plans.registry import query
 from lumenfold.session import scratch_path
-from lumenfold.sources import comments, markdown, store
+from lumenfold.sources import comments, generations, markdown, store
 from lumenfold.streaming import saves as st
 
 _FIELDS = ", ".join(f"coalesce({c}, '') AS {c}" for c in comments.COMMENT_FIELDS if c != "seq")
@@ -231,6 +233,120 @@ def plan_refresh(spark, d):
     return lc.plan_refresh(scopes, status).drop("app_id")
 
 
+_FRESH = """given AS ({entries}), entries AS (
+  SELECT * REPLACE (CASE WHEN user_id IN ('u0', 'u1') AND lang = 'en' THEN title || '!' ELSE title END AS title,
+    row_number() OVER (PARTITION BY user_id ORDER BY seq) - 1 AS entry_index) FROM given WHERE user_id NOT IN ('u0', 'u1') OR lang <> 'fr')""".format(
+    entries=data.ENTRIES_SQL.removeprefix("entries AS (").removesuffix(")")
+)
+
+
+@query(
+    "run_refresh",
+    f"""WITH RECURSIVE {DOC_SIMS.replace(data.ENTRIES_SQL, _FRESH)}, {BEST_CLUSTERS},
+    tagged AS (SELECT e.user_id, e.entry_id, title, lang, folder, collections, cluster_id FROM entries e LEFT JOIN best USING (user_id, entry_index)),
+    found AS (SELECT user_id, count(*) AS entries, count(DISTINCT lang) + count(DISTINCT cluster_id) AS labels FROM tagged GROUP BY ALL),
+    folders AS (SELECT user_id, count(DISTINCT f) AS folders FROM (SELECT user_id, folder AS f FROM tagged UNION ALL SELECT user_id, unnest(collections) FROM tagged) GROUP BY ALL)
+    SELECT user_id, entry_id, title, lang || CASE WHEN cluster_id IS NULL THEN '' ELSE ',' || cluster_id END AS tags,
+      CASE WHEN user_id IN ('u0', 'u1') THEN 'refresh' ELSE 'init' END AS action, true AS clustered, entries, labels + folders AS catalysts
+    FROM tagged JOIN found USING (user_id) JOIN folders USING (user_id)
+    UNION ALL SELECT 'u9', '', '', '', 'init', false, 0, 0""",
+)
+def run_refresh(spark, d):
+    """All users are indexed; then two of them come again, changed, with a third who has nothing."""
+    path = scratch_path(spark, "refreshed")
+    fixed = {"k": 8, "min_similarity": 0.7, "min_cluster_size": 3, "resolution": 0.0}
+    entries = data.entries(spark, d).drop("links")
+    refresh.run_refresh(spark, path, entries, **fixed)
+    lang = F.col("tags")[0]
+    fresh = entries.where("user_id IN ('u0', 'u1')").where(lang != "fr")
+    fresh = fresh.withColumn("title", F.when(lang == "en", F.concat("title", F.lit("!"))).otherwise(F.col("title")))
+    users = spark.range(10).where("id IN (0, 1, 9)").select(F.lit("notes").alias("app_id"), F.concat(F.lit("u"), "id").alias("user_id"))
+    refresh.run_refresh(spark, path, fresh, users, **fixed)
+    now = generations.open_store(spark, path)
+    shown = now.table("entries").select("app_id", "user_id", "entry_id", "title", F.array_join("tags", ",").alias("tags"))
+    both = now.table("outcome").join(shown, ["app_id", "user_id"], "left").fillna("", ["entry_id", "title", "tags"])
+    return both.select("user_id", "entry_id", "title", "tags", "action", "clustered", "entries", "catalysts")
+
+
+@query(
+    "refresh_stream",
+    f"""SELECT 'u' || user_id AS user_id, 'folder:' || event_type AS catalyst_id, count(*) AS entries, sum(count(*)) OVER (PARTITION BY user_id)::BIGINT AS of_user
+    FROM events WHERE {_GATE} GROUP BY user_id, event_type""",
+)
+def refresh_stream(spark, d):
+    """Saves arrive in three batches; the index follows in its own query."""
+    path, index = scratch_path(spark, "stream-saves"), scratch_path(spark, "stream-index")
+    stream = _save_stream(spark, d, "gated")
+    st.stream_saves(stream, _connected(spark, d), path, scratch_path(spark, "cp")).awaitTermination()
+    st.refresh_stream(spark, path, index, scratch_path(spark, "cp"), files=2, cluster=False).awaitTermination()
+    now = generations.open_store(spark, index)
+    whole = now.table("outcome").select("app_id", "user_id", F.col("entries").alias("of_user"))
+    return now.table("catalysts").join(whole, ["app_id", "user_id"]).select("user_id", "catalyst_id", "entries", "of_user")
+
+
+@query(
+    "search_saved",
+    """SELECT 'u' || user_id AS user_id, 'event-' || event_id AS entry_id, event_type || ' ' || event_id AS title FROM events""",
+)
+def search_saved(spark, d):
+    """Entries are indexed in the micro-batch that stores them; searched are all of them, through their folders."""
+    path, index = scratch_path(spark, "ingest-stream"), scratch_path(spark, "ingest-index")
+    st.ingest_stream(_save_stream(spark, d, "saves"), path, scratch_path(spark, "cp"), index).awaitTermination()
+    found = refresh.searchable(generations.open_store(spark, index))
+    reached = found.documents.select("app_id", "user_id", "entry_id").distinct()
+    return found.entries.join(reached, ["app_id", "user_id", "entry_id"]).select("user_id", "entry_id", "title")
+
+
+@query(
+    "replace_sections",
+    f"""{_ENTRIES}, placed AS (SELECT user_id, seq, unnest(collections) AS c FROM entries WHERE user_id <> 'u3'),
+    runs AS (SELECT *, CASE WHEN user_id = 'u0' THEN 'relational' ELSE 'reflective' END AS p FROM placed WHERE user_id = 'u0' OR seq % 3 > 0)
+    SELECT user_id, 'folder:' || c AS entity_ref, coalesce(max(p) FILTER (c LIKE 'box/%'), '') AS profile, min(seq) AS first_seq FROM runs GROUP BY user_id, c""",
+)
+def replace_sections(spark, d):
+    """Sections of two users are written, then those of one of them and a third with other entries and profiles."""
+    path = scratch_path(spark, "sections")
+    entries = data.entries(spark, d)
+    boxes = entries.select(F.explode("collections").alias("collection_id")).where("collection_id LIKE 'box/%'").distinct()
+    for users, profile, rows in ((["u0", "u1"], "relational", "true"), (["u1", "u2"], "reflective", "seq % 3 > 0")):
+        mine = entries.where(F.col("user_id").isin(users))
+        made = refresh.sections(mine.where(rows), boxes.withColumn("profile", F.lit(profile)))
+        generations.commit(spark, path, {"sections": made}, mine)
+    generations.compact(spark, path)
+    return generations.open_store(spark, path).table("sections").select("user_id", "entity_ref", F.coalesce("profile", F.lit("")).alias("profile"), "first_seq")
+
+
+_LOG_SQL = """ends AS (SELECT user_id, max(seq) // 2 AS half, max(seq) + 1 AS last FROM entries GROUP BY user_id),
+log AS (
+  SELECT user_id, unnest(['empty', 'lang-fr', 'dropped']) AS collection_id, -1 AS seq, 'create' AS op FROM ends
+  UNION ALL SELECT user_id, unnest(['lang-fr', 'box/src3', 'dropped', 'again']), half, 'delete' FROM ends
+  UNION ALL SELECT user_id, 'again', last, 'create' FROM ends)"""
+
+
+@query(
+    "collection_log",
+    f"""{_ENTRIES}, {_LOG_SQL}, states AS (SELECT user_id, collection_id, max(seq) FILTER (op = 'create') AS made, max(seq) FILTER (op = 'delete') AS gone,
+      count(*) FILTER (op = 'delete') AS generation FROM log GROUP BY ALL),
+    placed AS (SELECT user_id, seq, unnest(collections) AS collection_id FROM entries),
+    seen AS (SELECT p.* FROM placed p LEFT JOIN states s USING (user_id, collection_id) WHERE gone IS NULL OR p.seq > gone),
+    docs AS (SELECT user_id, collection_id, count(*) AS documents FROM seen GROUP BY ALL),
+    shown AS (SELECT user_id, count(DISTINCT seq) AS visible FROM seen GROUP BY ALL)
+    SELECT user_id, collection_id, coalesce(generation, 0) AS generation, coalesce(documents, 0) AS documents, visible
+    FROM states FULL JOIN docs USING (user_id, collection_id) JOIN shown USING (user_id) WHERE documents IS NOT NULL OR made > coalesce(gone, -2)""",
+)
+def collection_log(spark, d):
+    """Collections created, filled, deleted half way and created again."""
+    entries = data.entries(spark, d)
+    ends = entries.groupBy("app_id", "user_id").agg(F.max("seq").alias("last"))
+    event = lambda op, seq, *names: [F.struct(F.lit(n).alias("collection_id"), seq.alias("seq"), F.lit(op).alias("op")) for n in names]
+    half, last = F.floor(F.col("last") / 2), F.col("last") + 1
+    first = F.lit(-1).cast("long")
+    events = event("create", first, "empty", "lang-fr", "dropped") + event("delete", half, "lang-fr", "box/src3", "dropped", "again") + event("create", last, "again")
+    log = ends.select("app_id", "user_id", F.explode(F.array(*events)).alias("e")).select("app_id", "user_id", "e.*")
+    visible = store.visible_entries(entries, log).groupBy("app_id", "user_id").agg(F.count("*").alias("visible"))
+    return store.collections_by_log(entries, log).join(visible, ["app_id", "user_id"]).select("user_id", "collection_id", "generation", "documents", "visible")
+
+
 @query(
     "upsert_patch_delete",
     """WITH log AS (SELECT event_id AS seq, user_id, event_id % 7 AS item,
