@@ -41,6 +41,8 @@ COUNTER_BITS = 20
 _PART_BITS = 10
 #: Up to this many wanted texts are sent to all tasks (16 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Rows of a block that a task multiplies by itself, rows of all blocks of a task, and pairs that it holds at a time.
+BLOCK_ROWS, TASK_ROWS, _PAIRS_AT_A_TIME = 256, 1 << 17, 1 << 20
 #: Sets and shingles of a tile of the exact count, on average.
 TILE_SETS, TILE_GRAMS = 512, 1 << 18
 
@@ -183,26 +185,91 @@ def link_nodes(nodes: DataFrame, wanted_sets, percent: int) -> tuple[DataFrame,
 
     member = blocks.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     member = materialize(member, "members")
-    lead = first.select("gram", "block", col("first_node").alias("node")).join(roots, "node", "left")
-    lead = lead.select("gram", "block", F.coalesce("root", "node").alias("lead"))
-    other = member.join(lead, ["gram", "block"]).where("root <> lead")
-    kept = ["gram", "block", "lead"]
-    left = other.select(*kept, *(col(c).alias(f"l_{c}") for c in ("node", "n", "pos", "band", "root")))
-    right = member.select("gram", "block", *(col(c).alias(f"r_{c}") for c in ("node", "n", "pos", "band", "root")))
-    met = left.join(right, ["gram", "block"]).where(
-        (col("l_root") != col("r_root"))
-        & ((col("r_root") == col("lead")) | (col("l_node") < col("r_node")))
-        & (col("block") == F.greatest("l_band", "r_band"))
-        & _counts(col("l_n"), col("l_pos"), col("r_n"), col("r_pos"), percent)
-    )
-    pair = [F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b")]
-    summed = met.groupBy(*pair).agg(F.count("*").alias("overlap"), F.least(F.first("l_n"), F.first("r_n")).alias("smaller"))
+    summed = _overlaps(member, percent).groupBy("a", "b").agg(F.sum("overlap").alias("overlap"), F.first("smaller").alias("smaller"))
     rest = summed.where(col("overlap") >= 1 + extra(col("smaller"), percent)).select("a", "b")
     links = links.unionByName(_verified(materialize(rest, "rest-pairs"), wanted_sets, percent))
     links = materialize(links, "links")
     return links, materialize(components(links), "roots")
 
 
+def _overlaps(member: DataFrame, percent: int) -> DataFrame:
+    """``a, b, smaller, overlap``: first columns that rows of different components share, in parts to be added up.
+
+    Columns of one group of similar rows mostly have the same smallest row, so blocks are dealt by it: a task adds up
+    what its blocks say of a pair and gives it out once. Blocks of one smallest row that hold too many rows together
+    are dealt to several tasks by column. A block with too many rows for one task is joined with itself, by Spark.
+    """
+    col = F.col
+    blocks = member.groupBy("gram", "block").agg(F.count("*").alias("rows"), F.min("node").alias("least"), (F.min("root") < F.max("root")).alias("mixed"))
+    blocks = materialize(blocks.where("mixed"), "mixed-blocks")
+    dealt = blocks.where(col("rows") <= BLOCK_ROWS)
+    loads = dealt.groupBy("least").agg(F.ceil(F.sum("rows") / TASK_ROWS).alias("parts"))
+    dealt = dealt.join(loads, "least").select("gram", "block", "least", F.pmod(F.xxhash64("gram"), "parts").alias("part"))
+    given = member.join(dealt, ["gram", "block"]).select("least", "part", "gram", "block", "node", "root", "n", "pos", "band")
+    made = given.groupBy("least", "part").applyInArrow(_product(percent), "a bigint, b bigint, smaller bigint, overlap bigint")
+
+    wide = member.join(blocks.where(col("rows") > BLOCK_ROWS).select("gram", "block"), ["gram", "block"])
+    side = lambda k: wide.select("gram", "block", *(col(c).alias(f"{k}_{c}") for c in ("node", "n", "pos", "band", "root")))
+    met = side("l").join(side("r"), ["gram", "block"]).where(
+        (col("l_root") != col("r_root"))
+        & (col("l_node") < col("r_node"))
+        & (col("block") == F.greatest("l_band", "r_band"))
+        & _counts(col("l_n"), col("l_pos"), col("r_n"), col("r_pos"), percent)
+    )
+    smaller = F.least(F.first("l_n"), F.first("r_n")).alias("smaller")
+    rest = met.groupBy(col("l_node").alias("a"), col("r_node").alias("b")).agg(smaller, F.count("*").alias("overlap"))
+    return made.unionByName(rest)
+
+
+def _product(percent: int):
+    """The product of some blocks: per pair of rows of different components, the columns that count."""
+
+    def multiply(table: pa.Table) -> pa.Table:
+        columns = {c: table.column(c).to_numpy() for c in ("gram", "block", "node", "root", "n", "pos", "band")}
+        order = np.lexsort((columns["node"], columns["block"], columns["gram"]))
+        columns = {c: v[order] for c, v in columns.items()}
+        new = np.append(True, (np.diff(columns["gram"]) != 0) | (np.diff(columns["block"]) != 0))
+        starts = np.flatnonzero(new)
+        sizes = np.diff(np.append(starts, len(order)))
+        held: list[np.ndarray] = []
+        for size in np.unique(sizes).tolist():
+            left, right = np.triu_indices(size, 1)
+            of_size = starts[sizes == size]
+            step = max(1, _PAIRS_AT_A_TIME // len(left)) if len(left) else len(of_size)
+            for k in range(0, len(of_size), step):
+                at = of_size[k : k + step, None]
+                held.append(_counted_pairs({c: v[(at + left).ravel()] for c, v in columns.items()}, {c: v[(at + right).ravel()] for c, v in columns.items()}, percent))
+                if sum(map(len, held)) > _PAIRS_AT_A_TIME:
+                    held = [_added(held)]
+        found = _added(held)
+        return pa.table({name: pa.array(found[:, k]) for k, name in enumerate(("a", "b", "smaller", "overlap"))})
+
+    return multiply
+
+
+def _counted_pairs(left: dict[str, np.ndarray], right: dict[str, np.ndarray], percent: int) -> np.ndarray:
+    """Rows a, b, smaller size, 1 of the pairs whose common column counts; a is the smaller node."""
+    a, b = left["n"], right["n"]
+    least, most = np.minimum(a, b), np.maximum(a, b)
+    reach = extra(least, percent) - (percent * (a + b) + 99 + percent) // (100 + percent)
+    good = (left["root"] != right["root"]) & (left["block"] == np.maximum(left["band"], right["band"])) & (100 * least >= percent * most)
+    good &= (left["pos"] <= a + reach) & (right["pos"] <= b + reach)
+    found = np.column_stack([left["node"][good], right["node"][good], least[good], np.ones(int(good.sum()), np.int64)])
+    return _added([found])
+
+
+def _added(parts: list[np.ndarray]) -> np.ndarray:
+    """Parts with each pair once, and its overlaps added up."""
+    rows = np.concatenate([np.empty((0, 4), np.int64), *parts])
+    if not len(rows):
+        return rows
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    first = np.flatnonzero(np.append(True, (np.diff(rows[:, 0]) != 0) | (np.diff(rows[:, 1]) != 0)))
+    made = rows[first]
+    made[:, 3] = np.add.reduceat(rows[:, 3], first)
+    return made
+
+
 def _verified(pairs: DataFrame, wanted_sets, percent: int) -> DataFrame:
     """The pairs whose whole sets overlap enough."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()

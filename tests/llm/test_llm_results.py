@@ -440,3 +440,33 @@ def test_pipeline(spark, folder, documents):
     assert max(collections.Counter(ids[4]).values()) <= 3 and set(ids[4]) <= set(ids[3])
     assert collections.Counter(ids[5]) == collections.Counter(ids[4])
     assert all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) for r in kept[5].collect())
+
+
+@pytest.mark.parametrize("wide", [256, 4])
+def test_ngram_join_adds_up_pairs_in_tasks(spark, monkeypatch, wide):
+    """Groups of unlinked texts that share columns: a pair leaves a task once, not once per column; wide blocks are joined."""
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", wide)
+    monkeypatch.setattr(ngram_join, "TASK_ROWS", 4000)
+    generate, rows = random.Random(8), []
+    for group in range(6):
+        for k in range(12):
+            node = group * 100 + k
+            rows += [(g, b, node, node if k % 4 else group * 100, 100 + k % 3, generate.randrange(30), b - generate.randrange(2)) for g in range(group * 1000, group * 1000 + 60) for b in (7, 8) if generate.random() < 0.8]
+    member = spark.createDataFrame(rows, "gram long, block int, node long, root long, n long, pos long, band int")
+    plain = collections.Counter()
+    by_block = collections.defaultdict(list)
+    for gram, block, *row in rows:
+        by_block[gram, block].append(row)
+    for (_, block), held in by_block.items():
+        for x in held:
+            for y in held:
+                (a, root, n, i, band), (b, other, m, j, far) = x, y
+                most = min(n, m) * 20 // 800 - (80 * (n + m) + 179) // 180
+                if a < b and root != other and block == max(band, far) and i <= n + most and j <= m + most:
+                    plain[a, b] += 1
+    found = ngram_join._overlaps(member, 80).collect()
+    summed = collections.Counter()
+    for r in found:
+        summed[r["a"], r["b"]] += r["overlap"]
+    assert summed == plain and len(plain) > 200
+    assert wide == 4 or len(found) < sum(plain.values()) / 4
