@@ -40,7 +40,8 @@ def fold_events(events: DataFrame) -> DataFrame:
     """Final messages: conv_id, place (the smallest seq of its events), message, role, text.
 
     Order is by seq, null first; events of equal seq by kind and text. Null texts and roles are empty; unknown
-    kinds do nothing. A null conv_id is one conversation. A repeated event counts as often as it stands there.
+    kinds do nothing. A null conv_id is one conversation. An event that is delivered again, with the seq, kind and
+    text it had, counts once.
     """
     kind = F.col("kind")
     event = F.struct("seq", "kind", F.coalesce("text", F.lit("")).alias("text"))
@@ -48,7 +49,7 @@ def fold_events(events: DataFrame) -> DataFrame:
         F.min("seq").alias("place"),
         F.max(F.when(kind == "start", F.struct("seq", F.coalesce("role", F.lit("")).alias("role")))).alias("start"),
         F.max(F.when(kind.isin("edit", "regenerate"), event)).alias("reset"),
-        F.sort_array(F.collect_list(F.when(kind.isin("delta", "edit"), event))).alias("said"),
+        F.sort_array(F.collect_set(F.when(kind.isin("delta", "edit"), event))).alias("said"),
     )
     counts = lambda e: F.col("reset").isNull() | (e > F.col("reset")) | ((e == F.col("reset")) & (e["kind"] == "edit"))
     text = F.array_join(F.transform(F.filter("said", counts), lambda e: e["text"]), "")

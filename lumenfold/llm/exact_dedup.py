@@ -146,8 +146,18 @@ def _grouped(docs: DataFrame, text: str, id: str, bits: int) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text another row, with a smaller doc_id, has too.
 
-    A null doc_id counts as larger than all others; of rows with the same doc_id and text one stays.
+    A null doc_id counts as larger than all others; of rows with the same doc_id and text one stays. The texts stay
+    where they are: the few (id, digest) pairs that go are sent to them. Only rows whose pair stays and stands there
+    several times are brought together, one pair at a time, to keep one.
     """
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    kept = _grouped(docs, "text", "doc_id", 64).where("row = keep_row").select(F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), "text_key").alias("_key"))
-    return docs.withColumn("_key", key).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    pair = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    plain = {name: f"_given_{k}" for k, name in enumerate(docs.columns)}  # the input's names cannot clash
+    keyed = docs.select(pair.alias("_pair"), *[F.col(name).alias(new) for name, new in plain.items()])
+    found = _grouped(docs, "text", "doc_id", 64).where("group_size > 1")
+    named = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), "text_key").alias("_pair")
+    pairs = found.groupBy(named).agg(F.count("*").alias("rows"), F.count(F.when(F.col("row") == F.col("keep_row"), 1)).alias("kept"))
+    pairs, count = materialize_counting(pairs.where("rows > kept"), "pairs-that-go", F.lit(True))
+    small = (lambda df: F.broadcast(df)) if count <= BROADCAST_ROWS else (lambda df: df)
+    stay = keyed.join(small(pairs.select("_pair")), "_pair", "left_anti")
+    again = keyed.join(small(pairs.where("kept > 0").select("_pair")), "_pair", "left_semi").dropDuplicates(["_pair"])
+    return stay.unionByName(again).select(*[F.col(new).alias(name) for name, new in plain.items()])

@@ -111,4 +111,7 @@ def test_mixing(odd, none):
     assert found.count() == odd.count() and rows(found) == rows(mixing.mix(odd, size, [5, 2, 1]))
     assert all(r["taken"] <= 3 * r["size"] for r in found.collect())
     assert mixing.mix(none, size, [1]).count() == 0
-    assert mixing.repeated(odd, found).columns == odd.columns
+    mixed = mixing.mixed_rows(odd, size, [5, 2, 1])
+    assert mixed.columns == odd.columns and mixing.mixed_rows(none, size, [1]).count() == 0
+    assert mixed.select(F.sum(size)).first()[0] == found.select(F.sum("taken")).first()[0]
+    assert mixed.where("doc_id IS NULL").count() == found.where("doc_id IS NULL").first()["repeats"]

@@ -470,3 +470,75 @@ def test_ngram_join_adds_up_pairs_in_tasks(spark, monkeypatch, wide):
         summed[r["a"], r["b"]] += r["overlap"]
     assert summed == plain and len(plain) > 200
     assert wide == 4 or len(found) < sum(plain.values()) / 4
+
+
+def test_mixed_rows_are_those_that_the_mix_takes(spark):
+    """Also for null ids, and for different texts with one id; every row is taken as often as its size was counted."""
+    generate = random.Random(2)
+    rows = [(generate.choice([None, 7, *range(40)]), "w " * generate.randrange(1, 30), generate.choice("abc")) for _ in range(400)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, source string, `_given_0` string").repartition(5)
+    size = F.regexp_count("text", F.lit("w"))
+    wanted = collections.Counter()
+    for r in mixing.mix(docs, size, [5, 2, 1]).collect():
+        wanted[r["doc_id"], r["size"]] += r["repeats"]
+    made = mixing.mixed_rows(docs, size, [5, 2, 1])
+    found = collections.Counter((r["doc_id"], r["text"].count("w")) for r in made.collect())
+    assert found == +wanted and made.columns == docs.columns
+    given = collections.Counter(rows)
+    assert all(n <= 3 * given[r] for r, n in collections.Counter((r["doc_id"], r["text"], r["source"]) for r in made.collect()).items())
+
+
+def plain_fold(events):
+    """Messages of one log: role and text; an event that comes again counts once."""
+    messages, seen = {}, set()
+    for seq, message, kind, role, text in sorted(events, key=lambda e: (e[0], e[2], e[4])):
+        made = messages.setdefault(message, {"place": seq, "role": "", "text": ""})
+        if (seq, message, kind, text) in seen and kind != "start":
+            continue
+        seen.add((seq, message, kind, text))
+        if kind == "start":
+            made["role"] = role
+        elif kind == "delta":
+            made["text"] += text
+        elif kind in ("edit", "regenerate"):
+            made["text"] = text if kind == "edit" else ""
+    return {m: (x["place"], x["role"], x["text"]) for m, x in messages.items()}
+
+
+def test_random_logs_fold_as_a_plain_loop_does(spark):
+    """Deltas, edits and regenerations in any order, delivered out of order and again."""
+    generate, rows, wanted = random.Random(9), [], {}
+    for conv in range(120):
+        log, seq = [], 0
+        for message in range(generate.randrange(1, 4)):
+            log.append((seq, message, "start", generate.choice(["user", "assistant"]), ""))
+            for _ in range(generate.randrange(8)):
+                seq += 1
+                kind = generate.choice(["delta", "delta", "edit", "regenerate", "ping"])
+                log.append((seq, message, kind, None, "" if kind == "regenerate" else generate.choice(["", "a", "b<", "[c"])))
+            seq += 1
+        wanted[conv] = plain_fold(log)
+        again = log + generate.sample(log, generate.randrange(len(log) + 1))
+        generate.shuffle(again)
+        rows += [(conv, *e) for e in again]
+    events = spark.createDataFrame(rows, "conv_id long, seq long, message long, kind string, role string, text string")
+    found = collections.defaultdict(dict)
+    for r in chat.fold_events(events).collect():
+        found[r["conv_id"]][r["message"]] = (r["place"], r["role"], r["text"])
+    assert found == wanted
+    one = spark.createDataFrame([(1, 0, 0, "start", "user", None), (1, 1, 0, "delta", None, "ab"), (1, 2, 0, "edit", None, "X"), (1, 2, 0, "edit", None, "X")], events.schema)
+    assert chat.fold_events(one).first()["text"] == "X"
+
+
+def test_rows_that_repeat_a_kept_text_go(spark):
+    """Copies under one id and under others, null ids, and a column with a name the operator uses."""
+    generate = random.Random(4)
+    rows = [(generate.choice([None, *range(12)]), generate.choice(["a b", "a  b", "c", None, "", "d\ne"]), "kept", k) for k in range(200)] + [(99, "alone", "kept", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _pair string, row int").repartition(4)
+    kept = exact_dedup.keep_first(docs).collect()
+    lowest = {}
+    for i, text, _, _ in rows:
+        plain = SPACE.sub(" ", text or "")
+        lowest[plain] = min(lowest.get(plain, math.inf), math.inf if i is None else i)
+    assert sorted((SPACE.sub(" ", r["text"] or ""), math.inf if r["doc_id"] is None else r["doc_id"]) for r in kept) == sorted(lowest.items())
+    assert all(tuple(r) in set(rows) for r in kept)
