@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: sources weigh 5, 2, 1 in turn, and none counts more than 3 times."""
     size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
-    return mixing.repeated(docs, mixing.mix(docs, size, [5, 2, 1]))
+    return mixing.mixed_rows(docs, size, [5, 2, 1])
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
