@@ -9,6 +9,7 @@ log-likelihood ratio per character is high enough. Everything is made of DataFra
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -35,25 +36,77 @@ THRESHOLD = 0.35
 FIT_DOCUMENTS = 400
 
 
+_SPANS = "array<struct<start:int,kind:int,end:int,match:string>>"
+_FAR = 2**31 - 1
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it stands there."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(values: Column, add: Callable[[Column, Column], Column], start: int) -> Column:
+    """Element k is what the first k + 1 values add up to.
+
+    Values are taken by pieces of about the root of their number, so the work grows with its power of 1.5 and
+    nothing is appended to a growing array.
+    """
+
+    def pieces(given: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(given))).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.ceil(F.size(given) / width).cast("int") - 1), lambda c: F.slice(given, c * width + 1, width))
+
+    def whole(array: Column, count: Column) -> Column:
+        return F.aggregate(F.slice(array, F.lit(1), count), F.lit(start), add)
+
+    def joined(parts: Column) -> Column:
+        sums = F.transform(parts, lambda part: whole(part, F.size(part)))
+
+        def one(totals: Column) -> Column:
+            inside = lambda part, before: F.transform(part, lambda _, i: add(before, whole(part, i + 1)))
+            return F.flatten(F.transform(parts, lambda part, c: _once(whole(totals, c), lambda before: inside(part, before))))
+
+        return _once(sums, one)
+
+    none = F.array().cast("array<int>")
+    return _once(values, lambda v: F.when(F.size(v) > 0, _once(pieces(v), joined)).otherwise(none))
+
+
 def _spans(text: Column, pattern: str, kind: str) -> Column:
     """Array of start, kind number, end, match for all matches of a pattern that is one group."""
     between = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    paired = F.arrays_zip(between.alias("gap"), matches.alias("match"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int,match:string>>").alias("spans"))
+    paired = F.filter(F.arrays_zip(between.alias("gap"), matches.alias("match")), lambda p: p["match"].isNotNull())
+
+    def placed(pairs: Column) -> Column:
+        ends = _running(F.transform(pairs, lambda p: p["gap"] + F.length(p["match"])), lambda a, b: a + b, 0)
+
+        def span(p: Column, end: Column) -> Column:
+            return F.struct((end - F.length(p["match"])).alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.alias("end"), p["match"].alias("match"))
+
+        return F.zip_with(pairs, ends, span)
+
+    return _once(paired, placed)
+
+
+def _free(runs: Column, base: Column) -> Column:
+    """The runs that overlap no base span, found by one pass over both in order of their starts."""
+    is_base = lambda e: e["kind"] < KINDS.index("markov")
 
-    def step(acc: Column, pair: Column) -> Column:
-        begin = acc["at"] + pair["gap"]
-        end = begin + F.length(pair["match"])
-        span = F.struct(begin.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.alias("end"), pair["match"].alias("match"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+    def chosen(events: Column) -> Column:
+        ends = F.transform(events, lambda e: F.when(is_base(e), e["end"]).otherwise(0))
+        starts = F.reverse(F.transform(events, lambda e: F.when(is_base(e), e["start"]).otherwise(_FAR)))
+        before = _running(ends, lambda a, b: F.greatest(a, b), 0)
+        after = F.reverse(_running(starts, lambda a, b: F.least(a, b), _FAR))
+        near = F.arrays_zip(events.alias("e"), before.alias("before"), after.alias("after"))
+        kept = F.filter(near, lambda n: ~is_base(n["e"]) & (n["before"] <= n["e"]["start"]) & (n["after"] >= n["e"]["end"]))
+        return F.transform(kept, lambda n: n["e"])
 
-    found = F.filter(paired, lambda p: p["match"].isNotNull())
-    return F.aggregate(found, start, step, lambda acc: acc["spans"])
+    return F.when(F.size(runs) > 0, _once(F.array_sort(F.concat(runs, base)), chosen)).otherwise(F.array().cast(_SPANS))
 
 
 def _when(test: Column, spans: Column) -> Column:
-    return F.when(test, spans).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int,match:string>>"))
+    return F.when(test, spans).otherwise(F.array().cast(_SPANS))
 
 
 def base_spans(text: Column) -> Column:
@@ -121,15 +174,16 @@ def scan(docs: DataFrame, weights: list[float], text: str = "text", threshold: f
     """``docs`` with ``found``: all spans (start, kind, end, match; code points, end exclusive) in order.
 
     Spans of the plain patterns always stay; a scored run counts where it overlaps none of them. A null text is
-    empty. Rows are scanned one by one, so repeats agree.
+    empty. Rows are scanned one by one, so repeats agree. The work on a text grows with its length and, with the power
+    of 1.5, with the number of its matches. Columns keep their content whatever their names; ``found`` is replaced.
     """
-    plain = F.coalesce(F.col(text), F.lit(""))
-    base = docs.withColumn("_secret_text", plain).withColumn("_secret_base", base_spans(F.col("_secret_text")))
-    runs = _when(F.col("_secret_text").rlike(RUN), _spans(F.col("_secret_text"), RUN, "markov"))
-    base = base.withColumn("_secret_runs", runs)
-    free = lambda r: ~F.exists("_secret_base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-    scored = F.filter("_secret_runs", lambda r: free(r) & (ratio(r["match"], weights) >= threshold))
-    return fenced(base, [c for c in docs.columns if c != "found"], found=F.array_sort(F.concat("_secret_base", scored)))
+    kept = [c for c in docs.columns if c != "found"]
+    given = [F.col(c).alias(f"_given_{k}") for k, c in enumerate(kept)]  # the input's names cannot clash
+    base = fenced(docs.select(*given, F.coalesce(F.col(text), F.lit("")).alias("scanned")), [f"_given_{k}" for k in range(len(kept))] + ["scanned"], base=base_spans(F.col("scanned")))
+    runs = _when(F.col("scanned").rlike(RUN), _spans(F.col("scanned"), RUN, "markov"))
+    scored = F.filter(_free(runs, F.col("base")), lambda r: ratio(r["match"], weights) >= threshold)
+    made = fenced(base, [f"_given_{k}" for k in range(len(kept))], found=F.array_sort(F.concat("base", scored)))
+    return made.select(*[F.col(f"_given_{k}").alias(c) for k, c in enumerate(kept)], "found")
 
 
 def listed(spans: Column) -> Column:
