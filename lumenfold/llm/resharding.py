@@ -122,7 +122,8 @@ def reshard(docs: DataFrame, old: Column, n_old: int, n_new: int, text: str = "t
 
     Slots count rows of a shard from 0. Null and empty texts have size 1. Rows that repeat an id or a text are
     rows of their own; order among equal rows does not matter. Equal texts stay together if ``old`` keeps them so
-    and they do not exceed half a shard. Other columns are ignored.
+    and they do not exceed half a shard together: a large block is cut by a hash of the text, and only the rows of
+    texts beyond that (at most two of them per new shard) by their ids. Other columns are ignored.
     """
     value = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(
@@ -131,9 +132,10 @@ def reshard(docs: DataFrame, old: Column, n_old: int, n_new: int, text: str = "t
         text_bytes(F.col(text)).alias("size"),
         old.cast("int").alias("old"),
         F.pmod(F.xxhash64(value, F.lit("block")), F.lit(BLOCKS)).cast("int").alias("block"),
+        F.xxhash64(value, F.lit("part")).alias("same"),
         F.xxhash64(id, value, F.lit("part")).alias("spread"),
     )
-    small = materialize(base.select("size", "old", "block", "spread"), "block-rows")
+    small = materialize(base.select("size", "old", "block", "same", "spread"), "block-rows")
     sums = [F.sum("size").alias("size"), F.count("*").alias("rows")]
     found = [tuple(r) for r in small.groupBy("old", "block").agg(*sums).select("old", "block", "size", "rows").collect()]
     total = sum(r[2] for r in found)
@@ -142,7 +144,15 @@ def reshard(docs: DataFrame, old: Column, n_old: int, n_new: int, text: str = "t
     parts = {(o, b): -(-size // step) for o, b, size, _ in found if size > step}
     spark = docs.sparkSession
     cut = spark.createDataFrame([(o, b, p) for (o, b), p in parts.items()], "old int, block int, parts int")
-    split = lambda df: df.join(F.broadcast(cut), ["old", "block"], "left").withColumn("part", F.coalesce(F.pmod("spread", "parts"), F.lit(0)).cast("int"))
+    large = small.join(F.broadcast(cut), ["old", "block"]).groupBy("old", "block", "same").agg(F.sum("size").alias("size"))
+    hot = [(r["old"], r["block"], r["same"]) for r in large.where(F.col("size") > total / n_new / 2).collect()] if parts else []
+    torn = spark.createDataFrame([(*r, True) for r in hot], "old int, block int, same bigint, torn boolean")
+
+    def split(df: DataFrame) -> DataFrame:
+        df = df.join(F.broadcast(cut), ["old", "block"], "left").join(F.broadcast(torn), ["old", "block", "same"], "left")
+        part = F.when(F.col("torn"), F.col("parts") + F.pmod("spread", "parts")).otherwise(F.pmod("same", "parts"))
+        return df.withColumn("part", F.coalesce(part, F.lit(0)).cast("int"))
+
     pieces = defaultdict(list)
     if parts:
         for o, b, p, size, rows in split(small).where("parts IS NOT NULL").groupBy("old", "block", "part").agg(*sums).select("old", "block", "part", "size", "rows").collect():
@@ -159,11 +169,12 @@ def reshard(docs: DataFrame, old: Column, n_old: int, n_new: int, text: str = "t
     old_sizes = [sum(s for _, s in items[o]) for o in range(n_old)]
     placed = deal_blocks(items, min_cost_flow(old_sizes, capacities))
 
-    plan, next_slot, shard_bytes, affected, moved = [], [0] * n_new, [0] * n_new, set(range(n_old, n_new)), 0
+    plan, files, next_slot, shard_bytes, affected, moved = [], {}, [0] * n_new, [0] * n_new, set(range(n_old, n_new)), 0
     per_file = max(1, min(FILE_BYTES, total // n_new // _LEAST_FILES))
     for (o, b, p), (size, rows) in sorted(units.items()):
         shard = placed[o, b, p] if (o, b, p) in placed else placed[o, b]
-        plan.append((o, b, p, shard, shard_bytes[shard] // per_file, next_slot[shard], shard != o))
+        file = files.setdefault((shard, shard_bytes[shard] // per_file), len(files))
+        plan.append((o, b, p, shard, file, next_slot[shard], shard != o))
         next_slot[shard] += rows
         shard_bytes[shard] += size
         if shard != o:
@@ -171,7 +182,8 @@ def reshard(docs: DataFrame, old: Column, n_old: int, n_new: int, text: str = "t
             moved += size
     table = spark.createDataFrame(plan, "old int, block int, part int, shard int, file int, start bigint, moved boolean")
     assigned = split(base).join(F.broadcast(table), ["old", "block", "part"])
-    assigned = assigned.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard", "file")
+    # A task a file: files are numbered through, so ranges of one number deal them evenly.
+    assigned = assigned.repartitionByRange(max(1, len(files)), "file")
     within = Window.partitionBy("shard", "file", "old", "block", "part").orderBy("id", "spread")
     placed_rows = assigned.withColumn("slot", F.col("start") + F.row_number().over(within) - 1)
     placed_rows = placed_rows.select("id", "text", "size", "shard", "slot", "moved")
