@@ -26,7 +26,7 @@ from lumenfold.llm.batches import small_batches
 
 SPACE = "▁"
 _UNKNOWN_COST = 10.0
-#: Words whose ids a task remembers before it starts anew (a text may add as many again).
+#: Stretches whose ids a worker process remembers before it starts anew (a text may add as many again).
 REMEMBERED = 400_000
 _LONGEST_REMEMBERED = 48
 #: No piece has this mark after another character, so a new search can start before a run of marks.
@@ -42,9 +42,20 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
+_HELD: dict[bytes, tuple[Pieces, dict[str, bytes]]] = {}
+
+
 class Pieces:
     """The normal pieces of a model with scores, and its byte pieces."""
 
+    @classmethod
+    def of_worker(cls, model: bytes) -> tuple[Pieces, dict[str, bytes]]:
+        """The pieces that this process holds for the model, and what its tasks have remembered."""
+        if model not in _HELD:
+            _HELD.clear()
+            _HELD[model] = (cls(model), {})
+        return _HELD[model]
+
     def __init__(self, model: bytes) -> None:
         import sentencepiece
 
@@ -158,8 +169,17 @@ class Pieces:
             at = end
 
     def encode(self, text: str, known: dict[str, bytes]) -> np.ndarray:
-        """The ids of a text. ``known`` remembers, as packed numbers, what the search gave for short stretches."""
+        """The ids of a text."""
+        return self.encode_checked(text, known)[0]
+
+    def encode_checked(self, text: str, known: dict[str, bytes]) -> tuple[np.ndarray, bool]:
+        """The ids of a text, and whether they decode to it.
+
+        ``known`` remembers, as packed numbers, what the search gave for short stretches. Each stretch is decoded when
+        it is searched, and one that does not give itself again is not remembered; the text is its stretches in a row.
+        """
         packed: list[bytes] = []
+        same = SPACE not in text
         for stretches in self._stretches(text):
             found = list(map(known.get, stretches))
             if None in found:
@@ -170,12 +190,17 @@ class Pieces:
                         stretch = stretches[at]
                         ids = known.get(stretch)
                         if ids is None:
-                            ids = b"".join(array("i", ids).tobytes() for ids in self._commits((stretch,)))
-                            if len(stretch) <= _LONGEST_REMEMBERED and len(known) < 2 * REMEMBERED:
+                            found_ids = array("i")
+                            for committed in self._commits((stretch,)):
+                                found_ids.extend(committed)
+                            ids = found_ids.tobytes()
+                            back = b"".join(map(self.written.__getitem__, found_ids)) == stretch.encode()
+                            same = same and back
+                            if back and len(stretch) <= _LONGEST_REMEMBERED and len(known) < 2 * REMEMBERED:
                                 known[stretch] = ids
                         found[at] = ids
             packed.append(b"".join(found))
-        return np.frombuffer(b"".join(packed), np.int32)
+        return np.frombuffer(b"".join(packed), np.int32), same
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids. Bytes that form no character become U+FFFD; ids that stand for no text are left out."""
@@ -195,16 +220,15 @@ def encode(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
     others = [c for c in docs.columns if c not in (text, *made)]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, known = Pieces(shared.value), {}
+        pieces, known = Pieces.of_worker(shared.value)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 lists, same = [], []
                 for value in batch.column(text).to_pylist():
-                    value = value or ""
-                    ids = pieces.encode(value, known)
+                    ids, back = pieces.encode_checked(value or "", known)
                     lists.append(ids)
-                    same.append(pieces.decode(ids.tolist()) == value)
+                    same.append(back)
                 ends = np.cumsum([0, *map(len, lists)])
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists)))
                 sizes = pa.array(np.diff(ends), pa.int64())
@@ -221,7 +245,7 @@ def decode(encoded: DataFrame, model: bytes, ids: str = "ids") -> DataFrame:
     others = [c for c in encoded.columns if c not in (ids, "text")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(shared.value)
+        pieces, _ = Pieces.of_worker(shared.value)
         for batch in batches:
             texts = [None if v is None else pieces.decode(v) for v in batch.column(ids).to_pylist()]
             yield pa.record_batch([*(batch.column(c) for c in others), pa.array(texts, pa.string())], [*others, "text"])
