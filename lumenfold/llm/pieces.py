@@ -26,9 +26,9 @@ from lumenfold.llm.batches import small_batches
 
 SPACE = "▁"
 _UNKNOWN_COST = 10.0
-#: Stretches whose ids a worker process remembers before it starts anew (a text may add as many again).
-REMEMBERED = 400_000
-_LONGEST_REMEMBERED = 48
+#: Stretches whose ids a worker process remembers before it starts anew (a text may add _MORE).
+REMEMBERED = 900_000
+_MORE, _LONGEST_REMEMBERED = 100_000, 48
 #: No piece has this mark after another character, so a new search can start before a run of marks.
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _CUT_IN_LINE = re.compile(f"(?<![ {SPACE}])[ {SPACE}]")
@@ -196,7 +196,7 @@ class Pieces:
                             ids = found_ids.tobytes()
                             back = b"".join(map(self.written.__getitem__, found_ids)) == stretch.encode()
                             same = same and back
-                            if back and len(stretch) <= _LONGEST_REMEMBERED and len(known) < 2 * REMEMBERED:
+                            if back and len(stretch) <= _LONGEST_REMEMBERED and len(known) < REMEMBERED + _MORE:
                                 known[stretch] = ids
                         found[at] = ids
             packed.append(b"".join(found))
