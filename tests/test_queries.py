@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from check_oracle import TABLES, compare
 
 # The community loop has a fixed cost per round; its queries are checked by check_oracle.py.
-SLOW = {"detect_communities", "build_cluster_index", "cluster_entries"}
+SLOW = {"detect_communities", "build_cluster_index", "cluster_entries", "run_refresh"}
 
 
 @pytest.fixture(scope="module")
