@@ -13,6 +13,7 @@ from lumenfold.plans.data import AS_OF
 from lumenfold.plans.registry import query
 from lumenfold.session import scratch_path
 from lumenfold.sources import comments, generations, markdown, store
+from lumenfold.streaming import activity
 from lumenfold.streaming import saves as st
 
 _FIELDS = ", ".join(f"coalesce({c}, '') AS {c}" for c in comments.COMMENT_FIELDS if c != "seq")
@@ -138,6 +139,41 @@ def entity_activity_stream(spark, d):
     )
 
 
+_ARRIVALS = """WITH placed AS (SELECT *, CASE WHEN event_id % 50 = 0 THEN 3 ELSE (dayofmonth(ts) - 1) // 8 END AS batch FROM events WHERE ts IS NOT NULL),
+arrivals AS (SELECT * FROM placed UNION ALL SELECT * REPLACE (least(batch + 1, 3) AS batch) FROM placed WHERE event_id % 40 = 1),
+marks AS (SELECT b, (SELECT max(ts) FROM arrivals WHERE batch < b) - INTERVAL 4 DAY AS mark FROM range(4) t(b)),
+judged AS (SELECT a.*, coalesce(date_trunc('day', ts) + INTERVAL 1 DAY <= mark, false) AS late FROM arrivals a JOIN marks ON batch = b)"""
+
+
+@query(
+    "entity_activity_state",
+    f"""{_ARRIVALS} SELECT 'u' || user_id AS user_id, event_type AS entity, strftime(ts, '%Y-%m-%d') AS day,
+      count(DISTINCT event_id) FILTER (NOT late) AS frequency, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_seen
+    FROM judged GROUP BY ALL""",
+)
+def entity_activity_state(spark, d):
+    """All events in four steps of eight days; some come again in the next step, some only in the last one.
+
+    The stream is stopped after each step and goes on from its checkpoint.
+    """
+    saves = data.saves(spark, d)
+    step = F.when(F.col("seq") % 50 == 0, 3).otherwise(F.expr("(dayofmonth(ts) - 1) div 8"))
+    placed = saves.withColumn("step", step)
+    again = placed.where("seq % 40 = 1").withColumn("step", F.least(F.col("step") + 1, F.lit(3)))
+    arrivals = placed.unionByName(again)
+    source, path, checkpoint = (scratch_path(spark, label) for label in ("arrivals", "activity-state", "cp"))
+    for number in range(4):
+        arrivals.where(F.col("step") == number).drop("step").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(saves.schema).parquet(source)
+        activity.activity_stream(
+            stream, F.col("event_type"), path, checkpoint, lateness="4 days", shards=2, fold=3
+        ).awaitTermination()
+    return activity.read_activity_days(spark, path).select(
+        "user_id", "entity", F.date_format("day", "yyyy-MM-dd").alias("day"), "frequency",
+        F.date_format("last_seen", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_seen"),
+    )
+
+
 @query(
     "write_prepared",
     f"""WITH {data.RAW_SQL}, {data.ROWS_SQL}, {data.GROUPED_SQL}
