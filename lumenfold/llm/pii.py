@@ -3,7 +3,9 @@
 Numbers and dates count only when they validate: cards by their check digit, account numbers by theirs, addresses of
 machines by their ranges, telephone and social security numbers by theirs, dates by the calendar. A value becomes
 another valid one of its format with the same separators, and the permutation depends on the digits alone, so equal
-values stay linked across documents and two values never meet. Mail addresses keep their domain, and letters and
+values stay linked across documents and two values never meet. Telephone numbers are 3-3-4 digits, ten digits in a row
+that are valid so, or 8 to 15 digits after a plus sign in any groups; digits that follow such groups behind one
+separator count as theirs while 15 are not passed, so a number may then lose its link, but not its inversion. Mail addresses keep their domain, and letters and
 digits of the name are permuted within their kinds. The key holder can invert every pseudonym.
 """
 
@@ -27,12 +29,21 @@ PATTERN = re.compile(
   | (?P<date>(?<![0-9.])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{4})(?![0-9]|[.][0-9]))
   | (?P<address>(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9]))
   | (?P<social>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))
-  | (?P<phone>(?<![0-9+])(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9]))
+  | (?P<phone>(?<![0-9+])(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])
+      | (?<![0-9A-Za-z+])\+[1-9][0-9]{7,14}(?![0-9])
+      | (?<![0-9A-Za-z+])\+[1-9][0-9]{0,2}[\x20.-](?:\([0-9]{1,5}\)[\x20.-]?)?[0-9]{1,8}(?:[\x20.-][0-9]{2,8}){0,5}(?![0-9])
+      | (?<![0-9A-Za-z+.,_/=-])[2-9][0-9]{2}[2-9][0-9]{6}(?![0-9A-Za-z_/=]|[.,-][0-9]))
   | (?P<card>(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[\x20-])(?:[0-9]{4}(?P=gap)){2}[0-9]{4}(?:(?P=gap)[0-9]{1,3})?|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5})(?![0-9A-Za-z]))
     """,
     re.VERBOSE,
 )
 _MAY_HOLD = re.compile(r"[0-9@]")
+_LAST_GROUP = {"account": re.compile(r" [^ ]*$"), "phone": re.compile(r"(?<=[0-9)])[\x20.-][0-9]+$")}
+# Country codes of two digits; those that start with 1 or 7 have one digit, all others three.
+TWO_DIGIT_COUNTRIES = frozenset(
+    [20, 27, 30, 31, 32, 33, 34, 36, 39, 40, 41, 43, 44, 45, 46, 47, 48, 49, 51, 52, 53, 54, 55, 56, 57, 58]
+    + [60, 61, 62, 63, 64, 65, 66, 81, 82, 84, 86, 90, 91, 92, 93, 94, 95, 98]
+)
 _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1).toordinal(), 73049  # 1900 to 2099
 
 
@@ -160,10 +171,23 @@ def _social(value: str, cipher: Feistel, back: bool) -> str | None:
     return f"{place + 1 + (place >= 665):03}-{group + 1:02}-{serial + 1:04}"
 
 
+def country_of(digits: str) -> str:
+    """The country code that the digits after a plus sign start with."""
+    return digits[: 1 if digits[0] in "17" else 2 if int(digits[:2]) in TWO_DIGIT_COUNTRIES else 3]
+
+
 def _phone(value: str, cipher: Feistel, back: bool) -> str | None:
     """Area and exchange start with 2 to 9, and the country stays; other numbers count only with a country."""
     digits = _digits(value)
-    country, number = digits[:-10], digits[-10:]
+    country = country_of(digits) if value[0] == "+" else ""
+    number = digits[len(country) :]
+    if len(number) != 10:
+        if country in ("", "1") or not 8 <= len(digits) <= 15 or len(number) < 4:
+            return None
+        low = 0 if number[0] == "0" else 10 ** (len(number) - 1)  # a leading zero stays, and so does its absence
+        size = 10 ** (len(number) - 1) if low == 0 else 9 * low
+        made = low + cipher.permute(int(number) - low, size, f"phone:{country}:{len(number)}:{low > 0}", back)
+        return _fill(value, country + str(made).zfill(len(number)))
     if number[0] < "2" or number[3] < "2":
         if not country:
             return None
@@ -227,9 +251,10 @@ def replaced(text: str, cipher: Feistel, back: bool = False) -> tuple[str, list[
     while match := PATTERN.search(text, at):
         kind, value = match.lastgroup, match.group()
         made = _MAKERS[kind](value, cipher, back)
-        while made is None and kind == "account" and " " in value:  # groups after a number may not belong to it
-            value = value.rpartition(" ")[0]
-            made = _account(value, cipher, back)
+        cut = _LAST_GROUP.get(kind)
+        while made is None and cut and (shorter := cut.sub("", value)) != value:  # groups after a number may not belong to it
+            value = shorter
+            made = _MAKERS[kind](value, cipher, back)
         if made is None:  # not valid as this kind; another kind may start inside
             at = match.start() + 1
             continue

@@ -126,6 +126,37 @@ def test_pseudonyms(documents):
         assert spans or out == text
 
 
+def test_pseudonyms_of_telephone_numbers():
+    cipher = pii.Feistel(b"key")
+    digits = lambda t: re.sub("[^0-9]", "", t)
+    written = ["+12125551234", "+1 (212) 555-1234", "+1 212 5551234", "+1-212-555-1234"]
+    assert len({digits(pii.replaced(t, cipher)[0]) for t in written}) == 1  # one number, however it is written
+    assert "1" + digits(pii.replaced("2125551234", cipher)[0]) == digits(pii.replaced(written[0], cipher)[0])
+    for text, start in (("+44 20 7946 0958", "+44 "), ("+353 1 234 5678", "+353 "), ("+49 (0)30 123456", "+49 (0)"), ("+4915112345678", "+49")):
+        made, spans = pii.replaced(f"call {text} now", cipher)
+        assert [k for k, _, _ in spans] == ["phone"] and made.startswith(f"call {start}") and text not in made
+        assert pii.replaced(made, cipher, back=True)[0] == f"call {text} now"
+    made, spans = pii.replaced("+44 20 7946 0958 2024-01-05", cipher)
+    assert [k for k, _, _ in spans] == ["phone", "date"]
+    for text in ("id 1700000000", "3.2125551234", "x2125551234", "+1 12", "+44", "1234567890123", "+1 212 555"):
+        assert pii.replaced(text, cipher) == (text, [])
+    draw = random.Random(5)
+    for _ in range(3000):
+        text = "+" * draw.randint(0, 1) + "".join(draw.choice("0123456789" * 3 + " .-+()/") for _ in range(draw.randint(8, 40)))
+        made, _ = pii.replaced(text, cipher)
+        assert pii.replaced(made, cipher, back=True)[0] == text and len(made) == len(text)
+
+
+def test_pseudonyms_query_is_the_plain_replacement_of_every_text(spark, folder, documents):
+    cipher = pii.Feistel(queries.PSEUDONYM_KEY)
+    found = {r["doc_id"]: r for r in queries.QUERIES["op2_pii"](spark, folder).collect()}
+    assert found.keys() == documents.keys()
+    for doc_id, text in documents.items():
+        made, spans = pii.replaced(text or "", cipher)
+        row = found[doc_id]
+        assert (row["text"] or "") == made and [tuple(s) for s in row["pii_spans"]] == spans and row["n_pii"] == len(spans)
+
+
 def test_pseudonyms_leave_invalid_numbers():
     text = "4111-1111-1111-1112 999.1.1.1 31.02.2020 000-12-3456 1.2.3.4.5 12345678901234567890123"
     assert pii.replaced(text, pii.Feistel(b"key")) == (text, [])
