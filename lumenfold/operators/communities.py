@@ -2,16 +2,19 @@
 
 Quality: Q = 1/2m · Σ (w_ij − γ·k_i·k_j / 2m) over pairs in one community
 (Reichardt & Bornholdt 2006). Local moves with contraction (Blondel et al. 2008)
-run for every scope and every sweep setting in the same plan; then single nodes
-move until none improves, and communities that are not connected are split
-(Traag et al. 2019), until neither changes anything. State between rounds is
-stored in the shared folder. Only counts reach the driver.
+run for every scope and every sweep setting in the same plan. What contraction
+has fixed too early is then mended (Traag et al. 2019): single nodes move until
+none improves, and communities that are not connected are split. On request each
+community is then refined, from single nodes, into parts that hang together
+well, and whole parts move next door or leave, until nothing changes. State between rounds is stored in the
+shared folder. Only counts reach the driver.
 
 Why it ends: a level starts with some rounds in which all nodes move at once,
 which is fast but need not raise Q. After those, a community takes part in one
 move of a round at most, so the gains add up exactly and Q rises every round;
 there are finitely many partitions. A contraction that merges leaves fewer
-nodes. A split of an unconnected community never lowers Q.
+nodes. A split of an unconnected community never lowers Q, and parts move one
+per community, so each pass that changes something raises Q too.
 """
 
 from __future__ import annotations
@@ -30,11 +33,14 @@ EPSILON = 1e-12
 DROP_SETTLED_EVERY = 4
 
 
+#: How far from the best part a node may draw, in shares of its strength.
+RANDOMNESS = 0.01
+
 #: Rounds in which all nodes move at once, before moves are made one per community.
 FAST_ROUNDS = 24
 
 
-def _move_round(links: DataFrame, state: DataFrame, keys: list[str], salt: str, backward: bool, exclusive: bool = False) -> DataFrame:
+def _move_round(links: DataFrame, state: DataFrame, keys: list[str], salt: str, backward: bool, exclusive: bool = False, alone: bool = False) -> DataFrame:
     """One round: every node looks at the communities next door.
 
     A node whose best community beats staying moves if that community comes
@@ -42,18 +48,22 @@ def _move_round(links: DataFrame, state: DataFrame, keys: list[str], salt: str,
     runs one way, so two neighbours can never swap places; every second round
     runs ``backward``, so no move waits longer than that. Ties go to the smaller
     label. In an ``exclusive`` round a node moves if no better move touches its
-    own or its new community; the best move of all always happens.
+    own or its new community; the best move of all always happens. With ``alone``
+    a node may also leave for a community of its own, which gets a negative name.
     """
     near = links.join(state.select(*keys, F.col("node").alias("dst"), "label"), [*keys, "dst"]).select(
         *keys, F.col("src").alias("node"), "label", "w"
     )
     staying = state.select(*keys, "node", "label", F.lit(0.0).alias("w"))
+    if alone:
+        leaving = state.select(*keys, "node", (-1 - F.col("node")).alias("label"), F.lit(0.0).alias("w"))
+        staying = staying.unionByName(leaving)
     pull = near.unionByName(staying).groupBy(*keys, "node", "label").agg(F.sum("w").alias("w"))
     strength = state.groupBy(*keys, "label").agg(F.sum("k").alias("label_k"))
     own = state.select(*keys, "node", F.col("label").alias("own"), "k", "two_m", "resolution")
-    rest = F.col("label_k") - F.when(F.col("label") == F.col("own"), F.col("k")).otherwise(0.0)
+    rest = F.coalesce("label_k", F.lit(0.0)) - F.when(F.col("label") == F.col("own"), F.col("k")).otherwise(0.0)
     gain = F.col("w") - F.col("resolution") * F.col("k") * rest / F.col("two_m")
-    offers = pull.join(strength, [*keys, "label"]).join(own, [*keys, "node"]).withColumn("gain", gain)
+    offers = pull.join(strength, [*keys, "label"], "left").join(own, [*keys, "node"]).withColumn("gain", gain)
     best = offers.groupBy(*keys, "node").agg(
         F.max_by("label", F.struct("gain", -F.col("label"))).alias("best"),
         F.max("gain").alias("best_gain"),
@@ -91,11 +101,11 @@ def _exclusive_moves(best: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _settle(links: DataFrame, state: DataFrame, keys: list[str], salt: str, fast: int = FAST_ROUNDS) -> DataFrame:
+def _settle(links: DataFrame, state: DataFrame, keys: list[str], salt: str, fast: int = FAST_ROUNDS, alone: bool = False) -> DataFrame:
     """Repeat rounds until no node of any key improves. Every few rounds the settled keys leave the loop."""
     settled, active = [], state
     for number in itertools.count():
-        made = _move_round(links, active, keys, f"{salt}:{number // 2}", number % 2 == 1, number >= fast)
+        made = _move_round(links, active, keys, f"{salt}:{number // 2}", number % 2 == 1, number >= fast, alone)
         moved, left = materialize_counting(made, "round", F.col("improving"))
         active = moved.drop("improving")
         if not left:
@@ -107,6 +117,110 @@ def _settle(links: DataFrame, state: DataFrame, keys: list[str], salt: str, fast
     return reduce(DataFrame.unionByName, [*settled, active])
 
 
+def refine(links: DataFrame, state: DataFrame, keys: list[str], salt: str) -> DataFrame:
+    """Parts of every community that hang together well: ``state`` with the column ``part``, named after one member.
+
+    ``state`` is ``(keys, node, label, k, two_m, resolution)``. All nodes start alone. A node that is alone, and tied to
+    the rest of its community at least as strongly as its strength lets one expect, joins a part of its community that
+    is tied to the rest likewise, if joining does not lower the quality. Among such parts it draws one, better ones with
+    higher odds (seeded; the largest of score and noise). A part is never taken apart, so each has grown by joins of
+    single nodes that did not lower the quality.
+
+    Several nodes may join one part in one round: the best of them, and those that would still join if all others had
+    joined before. Of nodes that want to join each other, a hash of node and round decides who stays; along a chain of
+    wishes the hash falls until somebody stays, so each round somebody joins, and the loop ends.
+    """
+    at = state.select(*keys, "node", "label")
+    inside = materialize(
+        links.join(at.withColumnsRenamed({"node": "src", "label": "_a"}), [*keys, "src"])
+        .join(at.withColumnsRenamed({"node": "dst", "label": "_b"}), [*keys, "dst"])
+        .where("_a = _b")
+        .select(*keys, "src", "dst", "w"),
+        "inside-links",
+    )
+    whole = state.groupBy(*keys, "label").agg(F.sum("k").alias("whole"))
+    parts = state.join(whole, [*keys, "label"]).withColumn("part", F.col("node"))
+    expected = lambda one, other: F.col("resolution") * one * other / F.col("two_m")
+    for number in itertools.count():
+        sizes = parts.groupBy(*keys, "part").agg(
+            F.sum("k").alias("part_k"), F.count("*").alias("many"),
+            *[F.first(c).alias(c) for c in ("whole", "two_m", "resolution")],
+        )
+        of = lambda side, name: parts.select(*keys, F.col("node").alias(side), F.col("part").alias(name))
+        pull = (
+            inside.join(of("dst", "part"), [*keys, "dst"])
+            .join(of("src", "own"), [*keys, "src"])
+            .where("own <> part")
+            .groupBy(*keys, F.col("src").alias("node"), "own", "part")
+            .agg(F.sum("w").alias("w"))
+        )
+        pull = materialize(pull, "pull")
+        ties = pull.groupBy(*keys, F.col("part")).agg(F.sum("w").alias("cut"))
+        sound = sizes.join(ties, [*keys, "part"]).where(
+            F.col("cut") >= expected(F.col("part_k"), F.col("whole") - F.col("part_k"))
+        )
+        single = sound.where("many = 1").select(*keys, F.col("part").alias("node"), F.col("part_k").alias("k"))
+        gain = F.col("w") - expected(F.col("k"), F.col("part_k"))
+        noise = (F.pmod(F.xxhash64("node", "part", F.lit(f"{salt}:{number}")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+        offers = (
+            pull.join(single, [*keys, "node"])
+            .join(sound, [*keys, "part"])
+            .withColumn("gain", gain)
+            .where("gain >= 0")
+            .withColumn("score", F.col("gain") / (RANDOMNESS * F.col("k")) - F.log(-F.log(noise)))
+        )
+        wish = offers.groupBy(*keys, "node").agg(
+            F.max_by(F.struct("part", "many", "w", "gain", "part_k", "k", "two_m", "resolution"), "score").alias("wish")
+        )
+        wish = wish.select(*keys, "node", "wish.*")
+        order = lambda c: F.xxhash64(c, F.lit(f"{salt}:{number}"))
+        ready = wish.where((F.col("many") > 1) | (order(F.col("part")) < order(F.col("node"))))
+        movers = ready.join(ready.select(*keys, F.col("node").alias("part")), [*keys, "part"], "left_anti")
+        crowd = movers.groupBy(*keys, "part").agg(
+            F.sum("k").alias("crowd_k"), F.max(F.struct("gain", "node")).alias("first")
+        )
+        late = F.col("part_k") + F.col("crowd_k") - F.col("k")
+        joins = movers.join(crowd, [*keys, "part"]).where(
+            (F.col("first.node") == F.col("node")) | (F.col("w") >= expected(F.col("k"), late))
+        )
+        joined = parts.join(joins.select(*keys, "node", F.col("part").alias("_to")), [*keys, "node"], "left")
+        joined = joined.withColumns({"part": F.coalesce("_to", "part"), "moved": F.col("_to").isNotNull()}).drop("_to")
+        parts, moved = materialize_counting(joined.select(*parts.columns, "moved"), "parts-of", F.col("moved"))
+        parts = parts.drop("moved")
+        if not moved:
+            return parts.drop("whole")
+
+
+def _between(links: DataFrame, parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Links between parts, both directions, with the weights of their nodes' links added up."""
+    of = lambda side, name: parts.select(*keys, F.col("node").alias(side), F.col("part").alias(name))
+    return (
+        links.join(of("src", "_a"), [*keys, "src"])
+        .join(of("dst", "_b"), [*keys, "dst"])
+        .where("_a <> _b")
+        .groupBy(*keys, F.col("_a").alias("src"), F.col("_b").alias("dst"))
+        .agg(F.sum("w").alias("w"))
+    )
+
+
+def _part_state(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """The parts as nodes of their communities."""
+    return parts.groupBy(*keys, F.col("part").alias("node")).agg(
+        F.first("label").alias("label"), F.sum("k").alias("k"), F.first("two_m").alias("two_m"), F.first("resolution").alias("resolution")
+    )
+
+
+def _move_parts(links: DataFrame, state: DataFrame, keys: list[str], salt: str) -> tuple[DataFrame, int]:
+    """``(keys, node, label)`` after whole parts have moved until none improves, and how many have moved."""
+    parts = refine(links, state, keys, salt)
+    before = materialize(_part_state(parts, keys), "part-nodes")
+    settled = _settle(materialize(_between(links, parts, keys), "part-links"), before, keys, f"{salt}:parts", 0, alone=True)
+    after = settled.select(*keys, F.col("node").alias("part"), F.col("label").alias("_to"))
+    placed = parts.join(after, [*keys, "part"])
+    placed, moved = materialize_counting(placed, "moved-parts", F.expr("label <> _to"))
+    return placed.select(*keys, "node", F.col("_to").alias("label")), moved
+
+
 def connected_components(links: DataFrame, nodes: DataFrame, keys: list[str]) -> DataFrame:
     """Smallest node id of each node's component: ``(keys, node, component)``.
 
@@ -143,13 +257,16 @@ def detect_communities(
     *,
     resolution: float | None = None,
     seed: int = DEFAULT_SEED,
+    refined: bool = False,
 ) -> DataFrame:
     """Community of every node that has an edge: ``(keys, node, community)``.
 
     ``edges`` is ``(keys, src < dst, w)`` with a ``resolution`` column unless one
     value is given. The community is named after its smallest member. Nodes
     without an edge are communities of their own and are not listed. No single
-    node can raise the quality by moving to a community next to it.
+    node can raise the quality by moving to a community next to it. If ``refined``,
+    no part that ``refine`` finds can do so either, nor by leaving; that takes some
+    more loops, and node numbers must not be negative.
     """
     if resolution is not None:
         edges = edges.withColumn("resolution", F.lit(float(resolution)))
@@ -189,7 +306,7 @@ def detect_communities(
             .agg(F.sum("w").alias("w")),
             "level-links",
         )
-    while True:
+    for turn in itertools.count():
         state = nodes.join(placed.select(*keys, "node", "label"), [*keys, "node"])
         state = materialize(_settle(links, state, keys, f"{seed}:nodes", 0), "refined")
         placed = state.select(*keys, "node", "label")
@@ -203,19 +320,38 @@ def detect_communities(
         sizes = placed.groupBy(*keys, "label").agg(F.min("node").alias("_least"))
         named = placed.join(parts, [*keys, "node"]).join(sizes, [*keys, "label"])
         named, split = materialize_counting(named, "parts", F.expr("component <> _least"))
-        if not split:
-            return named.select(*keys, "node", F.col("component").alias("community"))
         placed = named.select(*keys, "node", F.col("component").alias("label"))
+        if split:
+            continue
+        moved = 0
+        if refined and (resolution is None or resolution > 0):  # at resolution 0 no part of a connected community gains by leaving
+            state = state.drop("label").join(placed, [*keys, "node"])
+            placed, moved = _move_parts(links, state, keys, f"{seed}:refine:{turn}")
+        if not moved:
+            return named.select(*keys, "node", F.col("component").alias("community"))
 
 
-def improving_moves(edges: DataFrame, placed: DataFrame, keys: list[str], resolution: float) -> DataFrame:
-    """Nodes that would raise the quality by moving to a community next to them: ``(keys, node)``."""
+def _state_of(edges: DataFrame, placed: DataFrame, keys: list[str], resolution: float) -> tuple[DataFrame, DataFrame]:
+    """Links in both directions and the state of a given partition."""
     flip = edges.select(*keys, F.col("dst").alias("src"), F.col("src").alias("dst"), "w")
     links = edges.select(*keys, "src", "dst", "w").unionByName(flip)
     strengths = links.groupBy(*keys, F.col("src").alias("node")).agg(F.sum("w").alias("k"))
     totals = strengths.groupBy(*keys).agg(F.sum("k").alias("two_m"))
     state = strengths.join(totals, keys).join(placed.select(*keys, "node", F.col("community").alias("label")), [*keys, "node"])
-    moves = _move_round(links, state.withColumn("resolution", F.lit(float(resolution))), keys, "", False)
+    return links, state.withColumn("resolution", F.lit(float(resolution)))
+
+
+def improving_moves(edges: DataFrame, placed: DataFrame, keys: list[str], resolution: float) -> DataFrame:
+    """Nodes that would raise the quality by moving to a community next to them: ``(keys, node)``."""
+    links, state = _state_of(edges, placed, keys, resolution)
+    return _move_round(links, state, keys, "", False).where("improving").select(*keys, "node")
+
+
+def improving_parts(edges: DataFrame, placed: DataFrame, keys: list[str], resolution: float, seed: int = DEFAULT_SEED) -> DataFrame:
+    """Refined parts that would raise the quality next door or alone: ``(keys, node)``, named after a member."""
+    links, state = _state_of(edges, placed, keys, resolution)
+    parts = refine(links, state, keys, str(seed))
+    moves = _move_round(_between(links, parts, keys), _part_state(parts, keys), keys, "", False, alone=True)
     return moves.where("improving").select(*keys, "node")
 
 
