@@ -196,13 +196,17 @@ def samples_of(docs: DataFrame, documents: int = FIT_DOCUMENTS, text: str = "tex
     """Labelled samples from at most ``documents`` documents, drawn by a hash of the id.
 
     Random strings are digests of their words as base64 and hexadecimal digits, and the access keys found there;
-    identifiers are their words, alone and joined in pairs as in snake and camel case, also in capitals.
+    identifiers are their words, alone and joined as in snake case, camel case (two ways, three words) and paths, also in
+    capitals.
     """
     ids = docs.where(F.col(id).isNotNull()).select(F.col(id).alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(documents)
     some = docs.join(F.broadcast(ids), docs[id] == ids["_id"]).select(F.coalesce(F.col(text), F.lit("")).alias("t"))
     words = some.select(F.explode(F.regexp_extract_all("t", F.lit("([A-Za-z]{3,})"), F.lit(1))).alias("w")).distinct()
-    joined = words.select("w", F.lead("w").over(_by_hash()).alias("next")).where("next IS NOT NULL")
-    ordinary = joined.select(F.explode(F.array("w", F.concat_ws("_", "w", "next"), F.concat(F.lower("w"), F.initcap("next")), F.upper("w"), F.upper(F.concat_ws("_", "w", "next")))).alias("sample"))
+    joined = words.select("w", F.lead("w").over(_by_hash()).alias("next"), F.lead("w", 2).over(_by_hash()).alias("third")).where("next IS NOT NULL")
+    title = F.concat(F.initcap("w"), F.initcap("next"), F.initcap(F.coalesce("third", "w")))
+    camel = F.concat(F.lower("w"), F.initcap("next"), F.initcap(F.coalesce("third", "w")))
+    forms = ["w", F.concat_ws("_", "w", "next"), camel, title, F.lower(F.concat_ws("/", "w", "next", "third")), F.upper("w"), F.upper(F.concat_ws("_", "w", "next"))]
+    ordinary = joined.select(F.explode(F.array(*forms)).alias("sample"))
     digest = F.unhex(F.sha2(F.concat(F.lit("sample:"), "w"), 256))
     random = words.select(F.explode(F.array(F.base64(digest), F.substring(F.regexp_replace(F.base64(digest), "[+/=]", ""), 5, 32), F.substring(F.lower(F.hex(digest)), 1, 40))).alias("sample"))
     keys = some.select(F.explode(F.regexp_extract_all("t", F.lit(ACCESS), F.lit(1))).alias("sample"))
