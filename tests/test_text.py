@@ -3,6 +3,8 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
+import pyarrow as pa
+
 from lumenfold.functions import text as tx
 from lumenfold.functions.index import dense_index
 
@@ -63,3 +65,11 @@ def test_dense_index_over_ranges_and_gaps(spark):
     rows = [("a", s) for s in (5, 70, 71, 300, 301, 999)] + [("b", 0)]
     got = dense_index(spark.createDataFrame(rows, "k string, s long"), ["k"], "s", width=64).collect()
     assert {(r.k, r.s): r.entry_index for r in got} == {("a", 5): 0, ("a", 70): 1, ("a", 71): 2, ("a", 300): 3, ("a", 301): 4, ("a", 999): 5, ("b", 0): 0}
+
+
+def test_a_batch_of_texts_is_split_in_parts_of_bounded_rows_and_bytes():
+    texts = pa.array(["ab " * 100, None, "é" * 40, ""] * 400 + ["x" * 5000])
+    parts = list(tx.slices(texts, 1000))
+    assert pa.concat_arrays(parts) == texts and list(tx.slices(texts.slice(0, 0))) == []
+    assert all(len(p) == 1 or (len(p) <= tx.SLICE and sum(len((t or "").encode()) for t in p.to_pylist()) <= 1000) for p in parts)
+    assert [len(p) for p in tx.slices(pa.nulls(1100, pa.string()))] == [512, 512, 76]
