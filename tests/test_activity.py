@@ -65,3 +65,18 @@ def _late_and_repeated(spark):
     stored = f"{place}/out/windows/batch={newest}"
     spark.read.parquet(stored).write.parquet(f"{place}/out/windows/batch={newest + 1}")
     assert sorted(map(tuple, activity.read_activity(spark, f"{place}/out").collect()), key=str) == before
+
+
+def test_users_share_keys_of_the_state(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        place = scratch_path(spark, "activity-many")
+        events = [(f"u{n % 1500}", str(n), "view", at(1 + n % 2, 3)) for n in range(3000)]
+        run(spark, place, events)
+        run(spark, place, events[:10])
+        state = spark.read.format("statestore").option("stateVarName", "days").load(f"{place}/cp")
+        assert state.count() <= 2 * 512  # one row a user and day before: 3,000
+        found = activity.read_activity(spark, f"{place}/out")
+        assert found.count() == 1500 and found.where("frequency <> 2").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
