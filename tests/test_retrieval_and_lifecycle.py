@@ -9,6 +9,7 @@ from lumenfold.operators import lifecycle as lc
 from lumenfold.functions import text as tx
 from lumenfold.operators import overview, retrieval, shape
 from lumenfold.schema import SCOPE
+from lumenfold.session import materialize
 from lumenfold.sources import comments, markdown, store
 
 
@@ -181,3 +182,19 @@ def test_numbers_are_rounded_as_their_binary_value(spark):
     df = spark.createDataFrame([(0.25, 0.125, 0.345), (None, 1.0, 2.0)], "a double, b double, c double")
     got = [tuple(r) for r in df.select(tx.fixed(F.col("a"), 1), tx.fixed(F.col("b"), 2), tx.fixed(F.col("c"), 2)).collect()]
     assert got == [("0.2", "0.12", "0.34"), (None, "1.00", "2.00")]
+
+
+def test_stored_vectors_of_zeros_are_not_broadcast(spark):
+    row = [F.lit("a").alias("app_id"), F.lit("u").alias("user_id"), F.col("id").cast("string").alias("entry_id")]
+    many = spark.range(30_000)  # files far below the broadcast limit, rows of 60 MB
+    zeros = F.array_repeat(F.lit(0.0).cast("float"), 512).alias("vector")
+    vectors = materialize(many.select(*row, F.col("id").alias("entry_index"), zeros), "zeros")
+    mentions = materialize(many.select(*row, F.lit("tag").alias("entity_type"), F.lit("x").alias("entity")), "zero-mentions")
+    catalysts = materialize(
+        spark.range(1).select(*row[:2], F.lit("tag:x").alias("catalyst_id"), F.lit("tag").alias("entity_type"), F.lit("x").alias("entity"), zeros), "zero-catalysts"
+    )
+    assert vectors._jdf.queryExecution().analyzed().stats().sizeInBytes() < 10 << 20
+    placed = retrieval.catalyst_documents(catalysts, mentions, vectors)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1  # the one catalyst still is
+    assert placed.count() == 30_000
