@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lumenfold.operators import lifecycle as lc
 from lumenfold.functions import text as tx
-from lumenfold.operators import overview, retrieval, shape
+from lumenfold.operators import labels, overview, retrieval, shape
 from lumenfold.schema import SCOPE
 from lumenfold.session import materialize
 from lumenfold.sources import comments, markdown, store
@@ -198,3 +198,39 @@ def test_stored_vectors_of_zeros_are_not_broadcast(spark):
     plan = placed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1  # the one catalyst still is
     assert placed.count() == 30_000
+
+
+def test_rare_words_of_a_group_are_not_counted_in_the_whole_scope(spark, monkeypatch):
+    rows, place = [], {}
+    for n in range(400):
+        group = n % 2
+        rare = " ".join(f"rare{chr(97 + n % 26)}{chr(97 + n // 26)}{chr(97 + k)}" for k in range(20))
+        often = " ".join(f"both{chr(97 + k)}" for k in range(26) if (n // 2) % 27 > k)
+        own = " ".join(f"only{group}x{chr(97 + k)}" for k in range(26) if (n // 2) % 29 > k)
+        own2 = " ".join(f"more{group}x{chr(97 + k)}" for k in range(26) if (n // 2) % 31 > k)
+        place[n] = group
+        rows.append(("a", "u", n, f"{own} {own2} {often} {rare}"))
+    entries = spark.createDataFrame(rows, "app_id string, user_id string, entry_index long, content string")
+    members = entries.select(*SCOPE, "entry_index", (F.col("entry_index") % 2).alias("cluster_no"))
+    sizes = members.groupBy(*SCOPE, "cluster_no").agg(F.count("*").alias("size"))
+    kept, stored = {}, labels.materialize
+
+    def watch(df, label):
+        kept[label] = stored(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(labels, "materialize", watch)
+    found = {r["cluster_no"]: r["keywords"] for r in labels.contrast_keywords(entries, members, sizes).collect()}
+    counts = {}
+    for _, _, n, text in rows:
+        for word in set(text.split()):
+            counts.setdefault(word, [0, 0])[place[n]] += 1
+    for group in (0, 1):
+        score = {}
+        for word, c in counts.items():
+            if c[group]:
+                rate, outside = c[group] / 200, c[1 - group]
+                score[word] = round(rate * np.log(401 / (1 + outside)) + max(0.0, rate - outside / 200), 9)
+        assert found[group] == sorted(score, key=lambda w: (-score[w], w))[:4]
+    assert kept["group-words"].where("term LIKE 'rare%'").count() == 8000
+    assert kept["able-words"].where("term LIKE 'rare%'").count() == 0 and kept["able-words"].count() >= 8
