@@ -58,3 +58,44 @@ def test_refinement_cuts_a_community_that_only_a_thread_holds(spark):
     for r in placed.collect():
         sides.setdefault(r["label"], set()).add(r["node"])
     assert moved and sorted(map(sorted, sides.values())) == [list(range(6)), list(range(6, 12))]
+
+
+def test_many_nodes_join_a_community_in_one_round(spark):
+    """One move a round for each community made as many rounds as a community has nodes."""
+    hub = {(a, b): 1 for a in range(10) for b in range(a + 1, 10)}
+    late = {(a, n): 1 for n in range(10, 40) for a in (n % 10, (n + 3) % 10, (n + 5) % 10)}
+    edges = edges_of(spark, {"hub": hub | late, "far": {(a, b): 1 for a in range(60) for b in range(a + 1, 60)}})
+    start = edges.selectExpr("graph", "explode(array(src, dst)) AS node").distinct()
+    start = start.withColumn("community", F.when((F.col("graph") == "far") | (F.col("node") < 10), 0).otherwise(F.col("node")).cast("long"))
+    start = materialize(start, "test-start")
+    links, state = cm._state_of(edges, start, KEYS, 0.5)
+    after = materialize(cm._move_round(links, state, KEYS, "", False, True), "test-after")
+    moved = after.where("graph = 'hub' and node >= 10 and label = 0").count()
+    assert moved > 15
+    q = lambda placed: {r["graph"]: r["quality"] for r in cm.quality(edges, placed, KEYS, 0.5).collect()}
+    before, then = q(start), q(after.withColumnRenamed("label", "community"))
+    assert then["hub"] > before["hub"]
+
+
+def test_moves_of_one_round_raise_the_quality(spark):
+    """From random communities, where moves get in each other's way, every round adds to the quality."""
+    graphs = {f"g{i}": planted(4, 10, 0.6, 0.1, i) for i in range(6)}
+    edges = edges_of(spark, graphs)
+    placed = edges.selectExpr("graph", "explode(array(src, dst)) AS node").distinct()
+    placed = materialize(placed.withColumn("community", F.pmod(F.xxhash64("graph", "node"), F.lit(5))), "test-placed")
+    quality = lambda p: {r["graph"]: r["quality"] for r in cm.quality(edges, p, KEYS, 1.0).collect()}
+    before = quality(placed)
+    for _ in range(3):
+        links, state = cm._state_of(edges, placed, KEYS, 1.0)
+        after = materialize(cm._move_round(links, state, KEYS, "", False, True), "test-after")
+        improving = {r["graph"] for r in after.where("improving").select("graph").distinct().collect()}
+        placed = after.withColumnRenamed("label", "community")
+        then = quality(placed)
+        assert improving and all(then[g] > before[g] for g in improving)
+        before = then
+
+
+def test_links_that_are_not_positive_are_weighed(spark):
+    edges = edges_of(spark, {"a": {(0, 1): 1, (1, 2): -1, (2, 3): 1}})
+    got = {r["node"]: r["community"] for r in cm.detect_communities(edges, KEYS, resolution=0.0).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 2}
