@@ -95,6 +95,15 @@ def test_moves_of_one_round_raise_the_quality(spark):
         before = then
 
 
+def test_components_need_no_moves(spark, monkeypatch):
+    """At resolution 0 communities are the components, which take few rounds; moves took some for each level."""
+    monkeypatch.setattr(cm, "_settle", None)
+    path = {(i, i + 1): 0.5 for i in range(30)} | {(100 + i, 101 + i): 2 for i in range(3)}
+    placed = cm.detect_communities(edges_of(spark, {"a": path, "b": {(4, 9): 1}}), KEYS, resolution=0.0)
+    got = {(r["graph"], r["node"]): r["community"] for r in placed.collect()}
+    assert got == {**{("a", i): 0 for i in range(31)}, **{("a", 100 + i): 100 for i in range(4)}, ("b", 4): 4, ("b", 9): 4}
+
+
 def test_links_that_are_not_positive_are_weighed(spark):
     edges = edges_of(spark, {"a": {(0, 1): 1, (1, 2): -1, (2, 3): 1}})
     got = {r["node"]: r["community"] for r in cm.detect_communities(edges, KEYS, resolution=0.0).collect()}
