@@ -122,18 +122,28 @@ def write_files(files: DataFrame, path: str) -> None:
     names.write.format("noop").mode("overwrite").save()
 
 
+def opened(path: str):
+    """The store of a qualified path and the path in it."""
+    from pyarrow import fs
+
+    # "file:/x" and "file:///x" are the same local folder; other schemes go by their URI.
+    local = "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(local if path.startswith(("/", "file:")) else path)
+
+
 def _file_writer(path: str):
     def write(batches):
         import pandas as pd
-        from pyarrow import fs
 
-        # "file:/x" and "file:///x" are the same local folder; other schemes go by their URI.
-        local = "/" + path.removeprefix("file:").lstrip("/")
-        store, base = fs.FileSystem.from_uri(local if path.startswith(("/", "file:")) else path)
+        store, base = opened(path)
+        made = set()
         for batch in batches:
             for name, body in zip(batch["name"], batch["body"]):
                 target = f"{base}/{name}"
-                store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                folder = target.rsplit("/", 1)[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
                 with store.open_output_stream(target) as out:
                     out.write(body.encode() if isinstance(body, str) else body)
             yield pd.DataFrame({"name": batch["name"]})

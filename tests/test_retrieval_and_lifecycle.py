@@ -234,3 +234,25 @@ def test_rare_words_of_a_group_are_not_counted_in_the_whole_scope(spark, monkeyp
         assert found[group] == sorted(score, key=lambda w: (-score[w], w))[:4]
     assert kept["group-words"].where("term LIKE 'rare%'").count() == 8000
     assert kept["able-words"].where("term LIKE 'rare%'").count() == 0 and kept["able-words"].count() >= 8
+
+
+def test_markdown_folders_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver listed all files, and some 30 made a task. The names that count are those of Spark's reader."""
+    names = ["empty.md", "a.md", "é ü.md", "x.MD", "_no.md", ".no.md", "_yes=1.md", "_metadata.md", "b/c/d.md", "b/_no/e.md", "b/.index/f.md", "b/k=v/g.md", "idx/h.md", "dir.md/i.md", "b/none.txt"]
+    for at, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("é\n" * at)
+    (tmp_path / "empty").mkdir()
+    rows = lambda df: sorted((r.folder or "", r.filename, r.content) for r in df.collect())
+    found = markdown.scan_markdown_folder(spark, str(tmp_path), "idx")
+    assert not any(f.endswith(".md") for f in found.inputFiles())
+    got = rows(found)
+    assert {f"{a}/{b}".lstrip("/") for a, b, _ in got} >= {"a.md", "é ü.md", "b/c/d.md", "b/k=v/g.md", "dir.md/i.md"}
+
+    def unknown(path):
+        raise ValueError(path)
+
+    monkeypatch.setattr(markdown, "opened", unknown)
+    assert rows(markdown.scan_markdown_folder(spark, str(tmp_path), "idx")) == got
+    with pytest.raises(Exception, match="(?i)path"):
+        markdown.scan_markdown_folder(spark, str(tmp_path / "missing"))
