@@ -73,3 +73,9 @@ def test_a_batch_of_texts_is_split_in_parts_of_bounded_rows_and_bytes():
     assert pa.concat_arrays(parts) == texts and list(tx.slices(texts.slice(0, 0))) == []
     assert all(len(p) == 1 or (len(p) <= tx.SLICE and sum(len((t or "").encode()) for t in p.to_pylist()) <= 1000) for p in parts)
     assert [len(p) for p in tx.slices(pa.nulls(1100, pa.string()))] == [512, 512, 76]
+
+
+def test_repeated_words_stay_in_the_splitter(spark):
+    df = spark.createDataFrame([(0, "Pear apple pear 12 The Äpfel apple"), (1, None), (2, "")], "i int, t string")
+    got = {r.i: (r.once, r.want) for r in df.select("i", tx.distinct_words("t").alias("once"), F.array_distinct(tx.words("t")).alias("want")).collect()}
+    assert got == {0: (["pear", "apple", "apfel"],) * 2, 1: ([],) * 2, 2: ([],) * 2}
